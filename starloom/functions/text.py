@@ -7,8 +7,8 @@ the few that remain are looked up in literal maps.
 
 from __future__ import annotations
 
+import json
 from collections import defaultdict
-from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column
@@ -65,15 +65,9 @@ class Vocabulary:
         return found
 
 
-def _map(entries: dict, value: Callable[..., Column], empty: str) -> Column:
-    if not entries:
-        return F.create_map().cast(f"map<string,{empty}>")
-    pairs = [column for word, found in entries.items() for column in (F.lit(word), value(found))]
-    return F.create_map(*pairs)
-
-
-def _array(values: list) -> Column:
-    return F.array(*[F.lit(v) for v in values])
+def _literal(entries: dict, kind: str) -> Column:
+    """A constant map by word, parsed once when the plan is optimised."""
+    return F.from_json(F.lit(json.dumps(entries, ensure_ascii=False)), f"map<string,{kind}>")
 
 
 def known_tokens(tokens: Column, vocabulary: Vocabulary) -> Column:
@@ -88,8 +82,8 @@ def sentiment(known: Column, vocabulary: Vocabulary) -> Column:
     A negation within the ``reach`` tokens before a polarised one turns its sign once.
     """
     polarity = vocabulary.polarity()
-    total = _map(polarity, lambda found: F.lit(sum(found)).cast("long"), "long")
-    count = _map(polarity, lambda found: F.lit(len(found)).cast("long"), "long")
+    total = _literal({word: sum(found) for word, found in polarity.items()}, "bigint")
+    count = _literal({word: len(found) for word, found in polarity.items()}, "bigint")
     negations = sorted({word for word, _ in vocabulary.negations})
     far = -vocabulary.reach - 1
     zero = F.lit(0).cast("long")
@@ -109,13 +103,12 @@ def sentiment(known: Column, vocabulary: Vocabulary) -> Column:
 
 def category_matches(known: Column, vocabulary: Vocabulary) -> Column:
     """array<struct<category, priority>>: one entry per matching list row."""
-    kind = "array<struct<category:string,priority:int>>"
-    by_word = _map(
-        vocabulary.categories(),
-        lambda found: F.array(
-            *[F.struct(F.lit(c).alias("category"), F.lit(p).alias("priority")) for c, p in found]
-        ).cast(kind),
-        kind,
+    by_word = _literal(
+        {
+            word: [{"category": c, "priority": p} for c, p in found]
+            for word, found in vocabulary.categories().items()
+        },
+        "array<struct<category:string,priority:int>>",
     )
     found = F.filter(F.transform(known, lambda token: by_word[token.word]), lambda m: m.isNotNull())
     return F.flatten(found)
@@ -139,6 +132,6 @@ def main_category(matches: Column, default: str = "general") -> Column:
 
 def tags(known: Column, vocabulary: Vocabulary) -> Column:
     """Sorted distinct ``word:neg``, ``word:pos`` and ``category:cat`` tags."""
-    by_word = _map(vocabulary.tags(), lambda found: _array(sorted(set(found))), "array<string>")
+    by_word = _literal(vocabulary.tags(), "array<string>")
     found = F.filter(F.transform(known, lambda token: by_word[token.word]), lambda t: t.isNotNull())
     return F.array_sort(F.array_distinct(F.flatten(found)))

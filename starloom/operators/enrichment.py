@@ -62,7 +62,7 @@ def with_capacity(aircraft: DataFrame) -> DataFrame:
 
 def block_costs(flights: DataFrame) -> DataFrame:
     """Scheduled block hours, 20 minutes at least, and their nominal direct cost."""
-    minutes = F.timestampdiff("SECOND", F.col("scheduled_departure_at"), F.col("scheduled_arrival_at")) / 60.0
+    minutes = F.timestamp_diff("SECOND", F.col("scheduled_departure_at"), F.col("scheduled_arrival_at")) / 60.0
     hours = F.greatest(F.coalesce(minutes, F.lit(0.0)), F.lit(20.0)) / 60.0
     rate = mapped(F.col("aircraft_type"), BLOCK_HOUR_USD, BLOCK_HOUR_DEFAULT_USD)
     return flights.select(

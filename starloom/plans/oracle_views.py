@@ -94,7 +94,7 @@ cross join lateral (
 ) m"""
 
 VIEWS["int_route_monthly_perf"] = """
-select *, revenue_usd - operating_cost_usd as margin_usd,
+select * exclude (punctual), revenue_usd - operating_cost_usd as margin_usd,
        case when revenue_usd > 0 then (revenue_usd - operating_cost_usd) / revenue_usd end as margin_pct,
        case when total_seat_capacity > 0 then total_pax / total_seat_capacity end as load_factor,
        flights_cancelled / flights_scheduled as cancellation_rate,

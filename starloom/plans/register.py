@@ -28,7 +28,7 @@ from starloom.plans.oracle_views import (
 )
 from starloom.plans.warehouse import Warehouse
 from starloom.session import prepare, shared_folder
-from starloom.sources.bindings import BOUND_LEXICON, BOUND_NEGATIONS, BOUND_TAXONOMY, bind
+from starloom.sources.bindings import BOUND_LEXICON, BOUND_NEGATIONS, BOUND_TAXONOMY, Binder
 from starloom.sources.lexicons import seed_frame
 from starloom.sources.readers import stage
 from starloom.sources.schemas import SOURCES
@@ -38,12 +38,16 @@ Job = Callable[[Warehouse], DataFrame]
 
 def warehouse(spark: SparkSession, folder: str, rows_per_range: int = 1_000_000) -> Warehouse:
     """The star schema over the parquet tables in ``folder``."""
-    prepare(spark)
-    earlier = stage(bind(spark, folder, "earlier_customers"), "customers").drop("_loaded_at")
-    history = scd2.first_snapshot(earlier, "customer_id", dt.datetime.fromisoformat(FIRST_SNAPSHOT))
+    bind = Binder(prepare(spark), folder)
+
+    def history() -> DataFrame:
+        earlier = stage(bind("earlier_customers"), "customers").drop("_loaded_at")
+        at = dt.datetime.fromisoformat(FIRST_SNAPSHOT)
+        return scd2.first_snapshot(earlier, "customer_id", at)
+
     return Warehouse(
         spark,
-        lambda name: bind(spark, folder, name),
+        bind,
         Vocabulary(BOUND_LEXICON, BOUND_TAXONOMY, BOUND_NEGATIONS),
         dt.date.fromisoformat(TODAY),
         dt.datetime.fromisoformat(SECOND_SNAPSHOT),
@@ -57,19 +61,19 @@ def shown(df: DataFrame, rounded: str = "") -> DataFrame:
     depend on their order."""
     out = []
     for f in df.schema.fields:
-        column = F.col(f"`{f.name}`")
+        text = f"`{f.name}`"
         if isinstance(f.dataType, T.ArrayType):
-            column = F.array_join(column, ",")
+            text = f"array_join({text}, ',')"
         elif isinstance(f.dataType, T.DecimalType):
-            column = column.cast("double")
+            text = f"cast({text} as double)"
         elif isinstance(f.dataType, T.DateType):
-            column = column.cast("string")
+            text = f"cast({text} as string)"
         elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
-            column = F.date_format(column, "yyyy-MM-dd HH:mm:ss")
+            text = f"date_format({text}, 'yyyy-MM-dd HH:mm:ss')"
         if f.name in rounded.split():
-            column = F.round(column, 6)
-        out.append(column.alias(f.name))
-    return df.select(*out)
+            text = f"round({text}, 6)"
+        out.append(f"{text} as `{f.name}`")
+    return df.selectExpr(*out)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -150,7 +154,7 @@ _table(
 _table("flight_full", "int_flight_full", money=_FLIGHT_MONEY, days="flight_date", times=_FLIGHT_TIMES)
 _table(
     "route_monthly_performance", "int_route_monthly_perf", days="period_month",
-    money="revenue_usd operating_cost_usd margin_usd", drop="",
+    money="revenue_usd operating_cost_usd margin_usd",
 )
 _table("customer_rfm_base", "rfm_base", money=_RFM_MONEY, days="last_booking_date")
 _table("customer_rfm", "int_customer_rfm", money=_RFM_MONEY, days="last_booking_date")
@@ -571,11 +575,11 @@ _add(
     "report_segment_matrix",
     lambda w: reports.segment_matrix(w["dim_customer_current"]),
     """with c as (select customer_segment, loyalty_tier_safe as t from dim_customer_current),
-       both as (select customer_segment as segment, t from c union all select 'Total', t from c)
+       cells as (select customer_segment as segment, t from c union all select 'Total', t from c)
        select segment, count(*) filter (t = 'Explorer') as Explorer, count(*) filter (t = 'Silver') as Silver,
               count(*) filter (t = 'Gold') as Gold, count(*) filter (t = 'non_member') as non_member,
               count(*) as total
-       from both group by 1""",
+       from cells group by 1""",
 )
 _add(
     "report_points_per_member",
@@ -846,10 +850,12 @@ _add(
 _add(
     "feedback_propensity",
     lambda w: enrich.feedback_propensity(w["stg_bookings"], w["stg_disruptions"]),
-    """select booking_id, flight_id, flight_id in (select flight_id from stg_disruptions) as has_disruption,
-              case when has_disruption then 0.085 when fare_class = 'Business' then 0.025
+    """select booking_id, flight_id, hit is not null as has_disruption,
+              case when hit then 0.085 when fare_class = 'Business' then 0.025
                    else 0.018 end::double as propensity
-       from stg_bookings where booking_status = 'Flown'""",
+       from stg_bookings left join (select distinct flight_id, true as hit from stg_disruptions)
+            using (flight_id)
+       where booking_status = 'Flown'""",
 )
 
 

@@ -22,7 +22,7 @@ class Warehouse(Mapping):
 
     ``inputs(name)`` gives one of the fourteen raw inputs. Indexing gives a lazy
     frame. ``written(name)`` gives the frame as a table in the shared folder, for steps
-    that read it more than once. ``history`` is the customer history so far; without
+    that read it more than once. ``history`` gives the customer history so far; without
     one the first snapshot is taken at ``snapshot_at``.
     """
 
@@ -33,7 +33,7 @@ class Warehouse(Mapping):
         vocabulary: Vocabulary,
         today: dt.date,
         snapshot_at: dt.datetime,
-        history: DataFrame | None = None,
+        history: Callable[[], DataFrame] | None = None,
         rows_per_range: int = 1_000_000,
     ):
         self.spark = prepare(spark)
@@ -82,7 +82,7 @@ def _snapshot(w: Warehouse) -> DataFrame:
     if w.history is None:
         return scd2.first_snapshot(w["stg_customers"].drop("_loaded_at"), "customer_id", w.snapshot_at)
     incoming = w["stg_customers"].drop("_loaded_at")
-    return scd2.merge_snapshot(w.history, incoming, "customer_id", w.snapshot_at)
+    return scd2.merge_snapshot(w.history(), incoming, "customer_id", w.snapshot_at)
 
 
 def _read(w: Warehouse) -> DataFrame:
@@ -144,7 +144,7 @@ _BUILDERS: dict[str, Callable[[Warehouse], DataFrame]] = {
         w.written("int_customer_lifetime"), w["fct_customer_feedback"], **w.ranks
     ),
     "ont_strategic_underperforming_route": lambda w: rules.strategic_underperforming(
-        w["int_route_monthly_perf"], w["dim_route"], **w.ranks
+        w.written("int_route_monthly_perf"), w["dim_route"], **w.ranks
     ),
     "ont_premium_upsell_candidate": lambda w: rules.premium_upsell(
         w["fct_ancillary_offers"], w["dim_customer_current"], **w.ranks

@@ -25,6 +25,26 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def local_session(cores: str = "*", memory: str = "8g", **conf: str) -> SparkSession:
+    """A session on this machine, for tests and measurements.
+
+    Recording the Python line of every column call is switched off: it costs several
+    round trips to the JVM per call, and can only be set when the session starts.
+    """
+    builder = (
+        SparkSession.builder.master(f"local[{cores}]")
+        .appName("starloom")
+        .config("spark.driver.memory", memory)
+        .config("spark.sql.shuffle.partitions", "8" if cores == "*" else cores)
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+    )
+    for key, value in {**RUNTIME_CONF, **conf}.items():
+        builder = builder.config(key, value)
+    return builder.getOrCreate()
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder that all executors can read, as named by ``spark.checkpoint.dir``.
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from starloom.sources.schemas import RENAMES, SEED_SCHEMAS, columns
 
@@ -27,10 +26,7 @@ def read_seed(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def stage(df: DataFrame, source: str) -> DataFrame:
     """Cast and rename one input one-to-one, stamping the load time."""
     names = RENAMES.get(source, {})
-    out = [
-        F.col(column).cast(kind).alias(names.get(column, column))
-        for column, kind in columns(source)
-    ]
+    out = [f"cast({c} as {kind}) as {names.get(c, c)}" for c, kind in columns(source)]
     if source == "customer_feedback":
-        out.append(F.lower(F.col("raw_text").cast("string")).alias("normalised_text"))
-    return df.select(*out, F.current_timestamp().alias("_loaded_at"))
+        out.append("lower(cast(raw_text as string)) as normalised_text")
+    return df.selectExpr(*out, "current_timestamp() as _loaded_at")
