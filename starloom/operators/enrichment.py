@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.functions.quantiles import quantiles
 from starloom.operators.flights import CANCELLED, FLOWN
 
 # Capacities, rates, eligibility and propensities.
@@ -203,19 +204,16 @@ def shares(df: DataFrame, column: str) -> DataFrame:
 
 
 def load_profile(bookings: DataFrame, flights: DataFrame) -> DataFrame:
-    """Mean and outer deciles of bookings over capacity; quantiles are interpolated.
-
-    ``percentile`` merges counts per distinct value, and a ratio of two small whole
-    numbers has few of those, so its state stays small at any number of flights.
-    """
+    """Mean and outer deciles of bookings over capacity; quantiles are interpolated."""
     per_flight = bookings.groupBy("flight_id").agg(F.count("*").alias("n"))
     filled = flights.join(per_flight, "flight_id").select(
         F.try_divide(F.col("n").cast("double"), F.col("seat_capacity").cast("double")).alias("fill")
     )
+    deciles = quantiles(filled, "fill", [0.1, 0.9])
     return filled.agg(
         F.avg("fill").alias("mean"),
-        F.percentile("fill", F.lit(0.1)).alias("p10"),
-        F.percentile("fill", F.lit(0.9)).alias("p90"),
+        F.lit(deciles[0.1]).cast("double").alias("p10"),
+        F.lit(deciles[0.9]).cast("double").alias("p90"),
     )
 
 

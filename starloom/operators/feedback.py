@@ -16,7 +16,6 @@ from starloom.functions.text import (
     tags,
     tokenise,
 )
-from starloom.session import spread
 
 
 def tokens(feedback: DataFrame) -> DataFrame:
@@ -49,7 +48,7 @@ def understood(feedback: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     ``semantic_tags``. Works per row, so ``feedback_id`` is taken as unique.
     """
     columns = [c for c in feedback.columns if c != "normalised_text"]
-    known = spread(feedback).select(
+    known = feedback.select(
         *columns,
         known_tokens(tokenise(F.col("normalised_text")), vocabulary).alias("_known"),
     )
@@ -83,9 +82,7 @@ def sentiment_by_join(
     window; word lists are joined, and only one small row per text and task is
     shuffled for the sums.
     """
-    split = spread(feedback).select(
-        "feedback_id", tokenise(F.col("normalised_text")).alias("tokens")
-    )
+    split = feedback.select("feedback_id", tokenise(F.col("normalised_text")).alias("tokens"))
     placed = split.select("feedback_id", "tokens", F.posexplode("tokens").alias("at", "token"))
     before = [F.get("tokens", F.col("at") - back).alias(f"before_{back}") for back in range(1, reach + 1)]
     placed = placed.select("feedback_id", "token", *before)

@@ -79,7 +79,11 @@ def search_feedback(
     )
 
 
-def capped(df: DataFrame, cap: int = ROW_CAP) -> tuple[list, bool]:
-    """At most ``cap`` rows for a caller, and whether there were more."""
-    rows = df.limit(cap + 1).collect()
-    return rows[:cap], len(rows) > cap
+def capped(df: DataFrame, cap: int = ROW_CAP, exact: bool = False) -> tuple[list, bool]:
+    """At most ``cap`` rows for a caller, and whether they may be cut off.
+
+    The flag is also set at exactly ``cap`` rows; ``exact`` reads one row more and sets
+    it only when there are more.
+    """
+    rows = df.limit(cap + 1 if exact else cap).collect()
+    return rows[:cap], len(rows) > cap if exact else len(rows) == cap

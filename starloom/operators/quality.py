@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Mapping
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.functions.frames import stack
 from starloom.operators.flights import CANCELLED
 
 
@@ -184,7 +184,7 @@ def run_checks(tables: Mapping[str, DataFrame], checks: list[Check]) -> DataFram
             by_table[check.table].append(check)
     for table, own in by_table.items():
         parts.append(_row_rules(tables[table], own))
-    return reduce(DataFrame.unionByName, parts)
+    return stack(parts)
 
 
 def assertions(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -211,7 +211,7 @@ def assertions(tables: Mapping[str, DataFrame]) -> DataFrame:
         (route, "ont_strategic_underperforming_route", "is_strategic"),
     ]
     rows = [df.select(_row(t, "assertion", c, F.col("v")).alias("r")).select("r.*") for df, t, c in parts]
-    return reduce(DataFrame.unionByName, rows)
+    return stack(rows)
 
 
 # Bounds of the validation figures, both ends included; None is open.
@@ -295,7 +295,7 @@ def figures(tables: Mapping[str, DataFrame]) -> DataFrame:
             mean_text_length=F.avg(F.length("raw_text")),
         ),
     ]
-    return reduce(DataFrame.unionByName, parts)
+    return stack(parts)
 
 
 def validation(tables: Mapping[str, DataFrame], bounds: dict = BOUNDS) -> DataFrame:

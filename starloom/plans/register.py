@@ -8,13 +8,14 @@ as text, lists as comma-joined text.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.functions.frames import stack
 from starloom.functions.text import Vocabulary
 from starloom.operators import enrichment as enrich
 from starloom.operators import feedback, lookups, quality, reports, scd2
@@ -389,7 +390,7 @@ def _measures(w: Warehouse) -> DataFrame:
         names = [F.struct(F.lit(model.name).alias("model"), F.lit(m.name).alias("measure"),
                           F.col(m.name).alias("value")) for m in model.measures]
         parts.append(one.select(F.explode(F.array(*names)).alias("r")).select("r.*"))
-    return reduce(DataFrame.unionByName, parts)
+    return stack(parts)
 
 
 _MEASURE_SQL = {
@@ -667,8 +668,6 @@ _add(
 
 def _built(w: Warehouse) -> Warehouse:
     """All tables written once, so that many checks can read them."""
-    import uuid
-
     w.build(f"{shared_folder(w.spark)}/starloom/{w.spark.sparkContext.applicationId}/{uuid.uuid4().hex}")
     return w
 
@@ -735,9 +734,10 @@ _add(
 
 
 def _build_counts(w: Warehouse) -> DataFrame:
-    tables = _built(w)._written
-    counts = [t.agg(F.count("*").alias("n")).select(F.lit(n).alias("table"), "n") for n, t in tables.items()]
-    return reduce(DataFrame.unionByName, counts).where(F.col("table").isin(_BUILT))
+    tables = _built(w)
+    return stack(
+        [tables[n].agg(F.count("*").alias("n")).select(F.lit(n).alias("table"), "n") for n in _BUILT]
+    )
 
 
 _BUILT = [
@@ -861,7 +861,7 @@ _add(
 
 def _booking_shares(w: Warehouse) -> DataFrame:
     columns = ("booking_status", "fare_class", "fare_family", "booking_channel")
-    return reduce(DataFrame.unionByName, [enrich.shares(w["stg_bookings"], c) for c in columns])
+    return stack([enrich.shares(w["stg_bookings"], c) for c in columns])
 
 
 _add(

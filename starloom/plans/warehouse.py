@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,12 +70,21 @@ class Warehouse(Mapping):
             self._written[name] = materialise(self[name], name)
         return self._written[name]
 
-    def build(self, folder: str) -> dict[str, DataFrame]:
-        """Write every table below ``folder``, each from the tables written before it."""
-        for name in _BUILDERS:
-            if name not in _INLINE:
-                table = write_table(self[name], f"{folder}/{name}", _MONTHS.get(name))
-                self._written[name] = table
+    def build(self, folder: str, at_once: int = 4) -> dict[str, DataFrame]:
+        """Write every table below ``folder``, each from the tables written before it.
+
+        Tables of one step do not read each other; a few are written at the same time
+        so that small ones do not leave the cluster idle.
+        """
+        with ThreadPoolExecutor(at_once) as pool:
+            for step in _STEPS:
+                frames = {name: self[name] for name in step}
+                writes = {
+                    name: pool.submit(write_table, df, f"{folder}/{name}", _DAYS.get(name))
+                    for name, df in frames.items()
+                    if name not in self._written
+                }
+                self._written.update({name: write.result() for name, write in writes.items()})
         return dict(self._written)
 
 
@@ -91,7 +101,6 @@ def _read(w: Warehouse) -> DataFrame:
 
 _MOOD = ["feedback_id", "sentiment_raw", "polarised_word_count", "sentiment_score", "sentiment_label"]
 
-# In build order. The names in _INLINE are steps inside other tables, not tables.
 _BUILDERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "dim_date": lambda w: dim.dim_date(w.spark),
     "metricflow_time_spine": lambda w: dim.days(w.spark),
@@ -155,11 +164,26 @@ _BUILDERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "ont_irops_heavy_route": lambda w: rules.irops_heavy(w["fct_flights"], w["dim_route"], **w.ranks),
 }
 
-_INLINE = {
-    "int_flight_passenger_count", "int_flight_revenue", "offers_per_customer", "flight_keys",
-    "int_feedback_sentiment", "int_feedback_category", "int_feedback_tags",
-}
-_MONTHS = {
+# What is written, step by step; the other names are steps inside these tables.
+_STEPS = [
+    [
+        "dim_date", "metricflow_time_spine", "dim_airport", "dim_aircraft", "dim_fare",
+        "dim_customer_snapshot", "int_flight_full", "rfm_base", "int_feedback_tokens", "feedback_read",
+    ],
+    [
+        "dim_route", "dim_customer_current", "int_route_monthly_perf", "int_customer_rfm",
+        "int_route_complaint_themes",
+    ],
+    [
+        "int_customer_lifetime", "fct_flights", "fct_bookings", "fct_ancillary_offers",
+        "fct_loyalty_events", "fct_customer_feedback",
+    ],
+    [
+        "ont_high_value_at_risk_customer", "ont_strategic_underperforming_route",
+        "ont_premium_upsell_candidate", "ont_loyal_detractor", "ont_irops_heavy_route",
+    ],
+]
+_DAYS = {
     "fct_flights": "flight_date",
     "fct_bookings": "booking_date",
     "fct_ancillary_offers": "offer_date",

@@ -29,7 +29,8 @@ def local_session(cores: str = "*", memory: str = "8g", **conf: str) -> SparkSes
     """A session on this machine, for tests and measurements.
 
     Recording the Python line of every column call is switched off: it costs several
-    round trips to the JVM per call, and can only be set when the session starts.
+    round trips to the JVM per call, and can only be set when the session starts. The
+    partition size AQE aims for is cut to what keeps all cores busy on small data.
     """
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -39,6 +40,7 @@ def local_session(cores: str = "*", memory: str = "8g", **conf: str) -> SparkSes
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4m")
     )
     for key, value in {**RUNTIME_CONF, **conf}.items():
         builder = builder.config(key, value)
@@ -74,15 +76,3 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark)}/starloom/{app}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give CPU-heavy work one partition per core when the input has fewer.
-
-    A scan of many files already has more partitions than cores and is left
-    alone, so no shuffle of a large input ever comes from here.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)

@@ -3,20 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
-def write_table(df: DataFrame, path: str, month_of: str | None = None) -> DataFrame:
+def write_table(df: DataFrame, path: str, day: str | None = None) -> DataFrame:
     """Replace the parquet table at ``path`` and read it back.
 
-    With ``month_of`` the files hold one month of that column each, so a date
-    range skips files by their min/max statistics. The rebalance hint lets AQE
-    split a big month over several files and merge small ones.
+    With ``day`` the rows of each file are sorted by that column. The sort is local to
+    a task, so nothing is shuffled, and a date range later skips row groups and pages
+    by their min/max statistics.
     """
-    if month_of:
-        monthly = df.withColumn("_month", F.date_format(month_of, "yyyy-MM"))
-        monthly = monthly.hint("rebalance", F.col("_month"))
-        monthly.write.mode("overwrite").partitionBy("_month").parquet(path)
-    else:
-        df.write.mode("overwrite").parquet(path)
+    if day:
+        df = df.sortWithinPartitions(day)
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
