@@ -47,6 +47,9 @@ def local_session(cores: str = "*", memory: str = "8g", **conf: str) -> SparkSes
     return builder.getOrCreate()
 
 
+_OWN_FOLDERS: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder that all executors can read, as named by ``spark.checkpoint.dir``.
 
@@ -60,9 +63,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="starloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _OWN_FOLDERS:
+        _OWN_FOLDERS[app] = tempfile.mkdtemp(prefix="starloom-")
+    return _OWN_FOLDERS[app]
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
