@@ -11,6 +11,7 @@ same hash, so its result does not depend on the cuts either.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 from math import ceil
 
@@ -55,9 +56,10 @@ def add_ranks(
         wanted, [i / ranges for i in range(1, ranges)], 1 / (4 * ranges)
     )
     cuts = {column: sorted(set(found)) for column, found in zip(wanted, quantiles)}
+    ranked = df
     for rank in ranks:
-        df = _ranged(df, key, rank, cuts[rank.column], rows)
-    return df
+        ranked = _ranged(ranked, df, key, rank, cuts[rank.column], rows)
+    return ranked
 
 
 def _tie_break(key: str) -> Column:
@@ -73,39 +75,33 @@ def _plain(rank: Rank, key: str) -> Column:
 def _range_of(rank: Rank, kind: str, cuts: list[float]) -> Column:
     """Number of the range a value falls in; odd numbers hold one single value.
 
-    A balanced tree of comparisons, so a row is placed in log2(cuts) steps.
+    The cuts are one constant array: a generated comparison tree of this size would be
+    too large to compile.
     """
     value = F.col(rank.column)
-
-    def place(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(2 * low)
-        middle = (low + high) // 2
-        cut = F.lit(cuts[middle]).cast(kind)
-        return (
-            F.when(value < cut, place(low, middle))
-            .when(value == cut, F.lit(2 * middle + 1))
-            .otherwise(place(middle + 1, high))
-        )
-
+    at = F.from_json(F.lit(json.dumps(cuts)), "array<double>").cast(f"array<{kind}>")
     last = 2 * len(cuts)
-    placed = place(0, len(cuts))
+    placed = 2 * F.size(F.filter(at, lambda cut: cut < value))
+    placed = placed + F.array_contains(at, value).cast("int")
     if rank.descending:
         placed = F.lit(last) - placed
     return F.when(value.isNull(), F.lit(last + 1)).otherwise(placed)
 
 
-def _ranged(df: DataFrame, key: str, rank: Rank, cuts: list[float], rows: int) -> DataFrame:
+def _ranged(
+    df: DataFrame, base: DataFrame, key: str, rank: Rank, cuts: list[float], rows: int
+) -> DataFrame:
+    """Add one rank to ``df``; range sizes are counted on ``base``, the table before
+    other ranks were added, so that earlier ranks are not computed again for them."""
     columns = df.columns
-    placed = df.withColumn("_range", _range_of(rank, df.schema[rank.column].dataType.simpleString(), cuts))
-    placed = placed.withColumn(
-        "_sub",
-        F.when(F.col("_range") % 2 == 1, F.substring(_tie_break(key), 1, 2)).otherwise(F.lit("")),
-    )
+    number = _range_of(rank, base.schema[rank.column].dataType.simpleString(), cuts)
+    sub = F.when(F.col("_range") % 2 == 1, F.substring(_tie_break(key), 1, 2)).otherwise(F.lit(""))
+    placed = df.withColumn("_range", number).withColumn("_sub", sub)
+    counted = base.select(key, rank.column).withColumn("_range", number).withColumn("_sub", sub)
     # At most (2 * cuts + 2) * 256 rows, whatever the size of the table.
     in_order = Window.orderBy("_range", "_sub").rowsBetween(Window.unboundedPreceding, -1)
     sizes = (
-        placed.groupBy("_range", "_sub")
+        counted.groupBy("_range", "_sub")
         .count()
         .withColumn("_before", F.coalesce(F.sum("count").over(in_order), F.lit(0)))
         .withColumn("_before_range", F.min("_before").over(Window.partitionBy("_range")))

@@ -77,7 +77,7 @@ def test_shared_folder():
 def test_materialised_table_lies_in_the_shared_folder(spark):
     table = materialise(spark.range(5), "five")
     assert table.count() == 5
-    assert table.inputFiles()[0].startswith(f"file:{shared_folder(spark)}/starloom/")
+    assert f"{shared_folder(spark)}/starloom/" in table.inputFiles()[0]
 
 
 def test_prepare_sets_skew_handling(spark):
