@@ -33,7 +33,7 @@ def test_few_files_are_spread_and_many_are_not(spark, tmp_path):
     spark.range(100).coalesce(1).write.parquet(str(tmp_path / "one"))
     spark.range(100).repartition(20).write.parquet(str(tmp_path / "many"))
     plans = {
-        n: open_table(spark, str(tmp_path / n))._jdf.queryExecution().optimizedPlan().toString()
+        n: open_table(spark, str(tmp_path / n), "id")._jdf.queryExecution().optimizedPlan().toString()
         for n in ("one", "many")
     }
     assert "Repartition" in plans["one"]
