@@ -19,7 +19,7 @@ def _within(name: str, value: int, low: int, high: int) -> None:
 def routes_with_kpis(monthly: DataFrame, period_months: int = 12, limit: int = 20) -> DataFrame:
     """Indicators per route over the last months, best revenue first.
 
-    The window holds exactly ``period_months`` months, the latest included.
+    ``monthly`` is read twice, so pass a written table. The window holds exactly ``period_months`` months, the latest included.
     """
     _within("period_months", period_months, 1, 24)
     _within("limit", limit, 1, 50)

@@ -97,7 +97,8 @@ def strategic_underperforming(
 ) -> DataFrame:
     """Strategic routes in the lower half of margins although well filled.
 
-    The window keeps the last month and the ``months`` before it.
+    ``monthly`` is read twice, so pass a written table. The window keeps the last month
+    and the ``months`` before it.
     """
     known = routes.where("is_strategic").select("route_id", "route_type", "distance_band")
     latest = _one_row(monthly, F.max("period_month"), "_last")

@@ -447,7 +447,7 @@ _add(
 # ---- reports ------------------------------------------------------------------------
 
 
-def _report(name: str, sql: str, kinds: dict[str, str], written: tuple[str, ...] = (), **filters) -> None:
+def _report(name: str, sql: str, kinds: dict[str, str], **filters) -> None:
     base = name.removesuffix("_filtered")
     _add(f"report_{name}", lambda w: reports.report(base, w, **filters), sql, **kinds)
 
@@ -600,11 +600,11 @@ _LOOKUP = """with last as (select max(period_month) as latest from int_route_mon
     from int_route_monthly_perf, last where period_month > latest - interval {months} month
     group by route_id order by revenue_usd desc nulls last, route_id limit {limit}"""
 _add(
-    "lookup_routes_with_kpis", lambda w: lookups.routes_with_kpis(w["int_route_monthly_perf"]),
+    "lookup_routes_with_kpis", lambda w: lookups.routes_with_kpis(w.written("int_route_monthly_perf")),
     _LOOKUP.format(margin=_SUM_MARGIN, fill=_SUM_FILL, months=12, limit=20),
 )
 _add(
-    "lookup_routes_last_quarter", lambda w: lookups.routes_with_kpis(w["int_route_monthly_perf"], 3, 5),
+    "lookup_routes_last_quarter", lambda w: lookups.routes_with_kpis(w.written("int_route_monthly_perf"), 3, 5),
     _LOOKUP.format(margin=_SUM_MARGIN, fill=_SUM_FILL, months=3, limit=5),
 )
 _add(
