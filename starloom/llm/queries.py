@@ -6,19 +6,35 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starloom.llm.decontaminate import contamination
 from starloom.llm.substrings import remove_repeated_passages
+from starloom.llm.token_counts import count_tokens
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return contamination(documents, table(spark, folder, "benchmark"))
+
+
 def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeated_passages(table(spark, folder, "documents"), with_text=False)
 
 
+def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return count_tokens(table(spark, folder, "documents"), path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_substring_dedup": op2_substring_dedup,
+    "op10_token_counts": op10_token_counts,
 }
 
 ORACLES: dict[str, str] = {}

@@ -147,7 +147,7 @@ def sketch_width(text_bytes: int, max_cells: int) -> int:
 def repeated_ranges(docs: DataFrame, window: int = 50, max_cells: int = 1 << 28) -> DataFrame:
     """Word ranges to remove: ``doc_id, text_key, ranges`` (array of first and end), for
     documents that lose any. ``text_key`` is ``xxhash64(text)``."""
-    spark = docs.sparkSession
+    spark = T.limit_batches(docs.sparkSession)
     docs = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"), "text"
     )

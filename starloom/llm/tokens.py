@@ -25,6 +25,12 @@ _STEP = 0x9E3779B97F4A7C15 | 1
 _LEFT = 0xD6E8FEB86659FD93
 _MASK = (1 << 64) - 1
 _LEFT_INVERSE = pow(_LEFT, -1, 1 << 64)
+def limit_batches(spark, size: int = 16 << 20):
+    """Have Spark hand rows to Python by bytes too, not by number alone: texts can be long."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+    return spark
+
+
 _powers: dict[int, np.ndarray] = {}
 
 
