@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from starloom.llm.decontaminate import contamination
+from starloom.llm.mixing import mix
+from starloom.llm.neighbours import nearest
+from starloom.llm.oracles import MIXING
 from starloom.llm.substrings import remove_repeated_passages
 from starloom.llm.token_counts import count_tokens
 
@@ -24,6 +27,15 @@ def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeated_passages(table(spark, folder, "documents"), with_text=False)
 
 
+def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mix(table(spark, folder, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op5_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest(table(spark, folder, "embeddings"))
+
+
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
@@ -34,7 +46,9 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_mixing": op3_mixing,
+    "op5_nearest_neighbours": op5_nearest_neighbours,
     "op10_token_counts": op10_token_counts,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_mixing": MIXING}
