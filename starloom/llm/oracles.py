@@ -47,3 +47,31 @@ taken as (
 select q.doc_id, q.size, q.source_size, q.target, coalesce(t.taken, 0)::bigint as taken
 from queued q left join taken t on q.nr = t.nr
 """
+
+LINES = r"""
+with texts as (
+  select doc_id, regexp_extract_all(text, '[^\n\r]+') as lines
+  from documents),
+places as (
+  select doc_id, unnest(range(1, len(lines) - 1)) as line, lines from texts where len(lines) >= 3),
+windows as (
+  select doc_id, line,
+         concat_ws(chr(10), lines[line], lines[line + 1], lines[line + 2]) as content from places),
+found as (
+  select doc_id, line,
+         first_value(struct_pack(d := doc_id, l := line))
+           over (partition by content order by doc_id, line) as first
+  from windows),
+gone as (
+  select distinct doc_id, line + k as line
+  from found, (values (0), (1), (2)) as n(k)
+  where first <> struct_pack(d := doc_id, l := line)),
+lines as (select doc_id, unnest(range(1, len(lines) + 1)) as line, unnest(lines) as content from texts),
+kept as (
+  select l.doc_id, string_agg(l.content, chr(10) order by l.line) as content, count(*) as n
+  from lines l anti join gone g on l.doc_id = g.doc_id and l.line = g.line group by l.doc_id)
+select t.doc_id, coalesce(len(t.lines), 0)::bigint as n_lines,
+       (coalesce(len(t.lines), 0) - coalesce(k.n, 0))::bigint as n_removed,
+       sha256(coalesce(k.content, '')) as kept_sha256
+from texts t left join kept k on t.doc_id = k.doc_id
+"""

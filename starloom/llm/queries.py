@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starloom.llm.decontaminate import contamination
+from starloom.llm.lines import dedup_lines
 from starloom.llm.mixing import mix
 from starloom.llm.neighbours import nearest
-from starloom.llm.oracles import MIXING
+from starloom.llm.oracles import LINES, MIXING
 from starloom.llm.substrings import remove_repeated_passages
 from starloom.llm.token_counts import count_tokens
 
@@ -32,6 +34,13 @@ def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    lines = F.filter(F.split("text", "[\n\r]+"), lambda line: line != "")
+    text = F.coalesce(F.array_join(lines, "\n"), F.lit(""))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2(text, 256).alias("kept_sha256"))
+
+
 def op5_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return nearest(table(spark, folder, "embeddings"))
 
@@ -47,8 +56,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_mixing": op3_mixing,
+    "op4_line_dedup": op4_line_dedup,
     "op5_nearest_neighbours": op5_nearest_neighbours,
     "op10_token_counts": op10_token_counts,
 }
 
-ORACLES: dict[str, str] = {"op3_mixing": MIXING}
+ORACLES: dict[str, str] = {"op3_mixing": MIXING, "op4_line_dedup": LINES}
