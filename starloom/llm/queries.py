@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from starloom.llm.decontaminate import contamination
 from starloom.llm.lines import dedup_lines
 from starloom.llm.mixing import mix
+from starloom.llm.near_duplicates import near_duplicates
 from starloom.llm.neighbours import nearest
 from starloom.llm.oracles import LINES, MIXING
 from starloom.llm.substrings import remove_repeated_passages
@@ -45,6 +46,10 @@ def op5_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return nearest(table(spark, folder, "embeddings"))
 
 
+def op8_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
@@ -58,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": op3_mixing,
     "op4_line_dedup": op4_line_dedup,
     "op5_nearest_neighbours": op5_nearest_neighbours,
+    "op8_near_dedup": op8_near_dedup,
     "op10_token_counts": op10_token_counts,
 }
 

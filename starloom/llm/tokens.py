@@ -66,6 +66,12 @@ def separator_table(separators: bytes) -> np.ndarray:
 
 BLANK_TABLE = separator_table(BLANKS)
 
+# Words of letters and digits: whatever is not ASCII belongs to them, A-Z is folded.
+PLAIN_TABLE = separator_table(
+    bytes(b for b in range(128) if not (chr(b).isascii() and chr(b).isalnum()))
+)
+PLAIN_FOLD = np.frombuffer(bytes(range(256)).lower(), dtype=np.uint8)
+
 
 @dataclass
 class Words:
@@ -105,9 +111,14 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets
 
 
-def words(column: pa.Array, table: np.ndarray = BLANK_TABLE) -> Iterator[Words]:
-    """Words of every text of a column, piece by piece, in order."""
+def words(
+    column: pa.Array, table: np.ndarray = BLANK_TABLE, fold: np.ndarray | None = None
+) -> Iterator[Words]:
+    """Words of every text of a column, piece by piece, in order; ``fold`` replaces bytes
+    first."""
     data, offsets = utf8(column)
+    if fold is not None:
+        data = fold[data]
     n, first = len(offsets) - 1, 0
     while first < n:
         last = int(np.searchsorted(offsets, offsets[first] + PIECE_BYTES, "right")) - 1
