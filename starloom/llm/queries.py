@@ -15,6 +15,7 @@ from starloom.llm.neighbours import nearest
 from starloom.llm.oracles import LINES, MIXING
 from starloom.llm.substrings import remove_repeated_passages
 from starloom.llm.token_counts import count_tokens
+from starloom.llm.toxicity import toxic_scores
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -50,6 +51,10 @@ def op8_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxic_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_line_dedup": op4_line_dedup,
     "op5_nearest_neighbours": op5_nearest_neighbours,
     "op8_near_dedup": op8_near_dedup,
+    "op9_toxicity": op9_toxicity,
     "op10_token_counts": op10_token_counts,
 }
 
