@@ -14,6 +14,7 @@ from starloom.llm.mixing import mix
 from starloom.llm.near_duplicates import near_duplicates
 from starloom.llm.neighbours import nearest
 from starloom.llm.oracles import LINES, MIXING
+from starloom.llm.secrets import secret_report
 from starloom.llm.substrings import remove_repeated_passages
 from starloom.llm.token_counts import count_tokens
 from starloom.llm.toxicity import toxic_scores
@@ -48,6 +49,10 @@ def op5_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return nearest(table(spark, folder, "embeddings"))
 
 
+def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_report(table(spark, folder, "documents"))
+
+
 def op8_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
@@ -69,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": op3_mixing,
     "op4_line_dedup": op4_line_dedup,
     "op5_nearest_neighbours": op5_nearest_neighbours,
+    "op6_secrets": op6_secrets,
     "op8_near_dedup": op8_near_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_token_counts": op10_token_counts,
