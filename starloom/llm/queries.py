@@ -14,6 +14,7 @@ from starloom.llm.mixing import mix
 from starloom.llm.near_duplicates import near_duplicates
 from starloom.llm.neighbours import nearest
 from starloom.llm.oracles import LINES, MIXING
+from starloom.llm.personal import personal_report
 from starloom.llm.secrets import secret_report
 from starloom.llm.substrings import remove_repeated_passages
 from starloom.llm.token_counts import count_tokens
@@ -53,6 +54,10 @@ def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secret_report(table(spark, folder, "documents"))
 
 
+def op7_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return personal_report(table(spark, folder, "documents"))
+
+
 def op8_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
@@ -75,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_line_dedup": op4_line_dedup,
     "op5_nearest_neighbours": op5_nearest_neighbours,
     "op6_secrets": op6_secrets,
+    "op7_personal_data": op7_personal_data,
     "op8_near_dedup": op8_near_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_token_counts": op10_token_counts,
