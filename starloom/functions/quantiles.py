@@ -4,51 +4,37 @@ from __future__ import annotations
 
 from math import ceil, floor
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.functions.running import with_running_sums
 from starloom.session import materialise
 
 
-def quantiles(
-    df: DataFrame, column: str, shares: list[float], max_values: int = 1_000_000
-) -> dict[float, float | None]:
+def quantiles(df: DataFrame, column: str, shares: list[float]) -> dict[float, float | None]:
     """Quantiles by linear interpolation between neighbouring rows.
 
-    Rows are counted per value first. When the distinct values are too many for one
-    task, approximate quantiles bracket each wanted position, rows below the bracket
-    are only counted, and the values inside it are walked.
+    Rows are counted per value, the counts are summed up in order over value ranges, and
+    each wanted position falls to the first value whose sum goes beyond it.
     """
-    counts = materialise(
+    counts = (
         df.where(F.col(column).isNotNull())
         .groupBy(F.col(column).cast("double").alias("value"))
-        .agg(F.count("*").alias("n")),
-        "value_counts",
+        .agg(F.count("*").alias("n"))
     )
-    values, rows = counts.agg(F.count("*"), F.sum("n")).first()
-    if not values:
+    walked = materialise(
+        with_running_sums(counts, [F.col("value")], {"last": F.col("n")}), "value_positions"
+    )
+    rows = walked.agg(F.sum("n")).first()[0]
+    if not rows:
         return {share: None for share in shares}
-    if values <= max_values:
-        texts = [f"percentile(value, {share}D, n) as q{i}" for i, share in enumerate(shares)]
-        return dict(zip(shares, counts.selectExpr(*texts).first()))
-    slack = max_values / (4 * rows)
-    plain = df.select(F.col(column).cast("double").alias("value"))
-    found = {}
+    places = sorted({f(share * (rows - 1)) for share in shares for f in (floor, ceil)})
+    found = walked.agg(
+        *[F.min(F.when(F.col("last") > place, F.col("value"))).alias(str(place)) for place in places]
+    ).first()
+    out = {}
     for share in shares:
-        low, high = plain.approxQuantile(
-            "value", [max(0.0, share - slack), min(1.0, share + slack)], slack / 2
-        )
         position = share * (rows - 1)
-        below = counts.where(F.col("value") < low).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-        upto = Window.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        walked = counts.where(F.col("value").between(low, high)).select(
-            "value", (F.sum("n").over(upto) + below).alias("last")
-        )
-        # A value covers the positions up to last - 1; the first one past a position holds it.
-        at = [
-            F.min(F.when(F.col("last") > place, F.col("value")))
-            for place in (floor(position), ceil(position))
-        ]
-        left, right = walked.agg(*[c.alias(f"v{i}") for i, c in enumerate(at)]).first()
-        found[share] = left + (right - left) * (position - floor(position))
-    return found
+        left, right = found[str(floor(position))], found[str(ceil(position))]
+        out[share] = left + (right - left) * (position - floor(position))
+    return out

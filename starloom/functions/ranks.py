@@ -1,23 +1,22 @@
-"""Ranks over a whole table.
-
-A window without partitions sorts the table in one task. Small tables may do that;
-larger ones are cut into value ranges first, ranked inside each range, and shifted by
-the number of rows in the ranges before. Quantiles of the column give the cuts. Every
-cut value gets a range of its own, so a value that many rows share ends up alone in
-its range, where order no longer matters to ``percent_rank`` and the rows can be
-spread over 256 sub-ranges by the hash of their key. ``ntile`` breaks ties by that
-same hash, so its result does not depend on the cuts either.
+"""Ranks over a whole table, in one way for any size.
+
+``percent_rank`` needs the number of rows before a value: rows are counted per value, the
+counts are summed up in order over value ranges, and meet the rows again by value. ``ntile``
+needs a row's position: rows are ordered by value and the hash of their key, which also
+breaks ties, and numbered range by range. Only the key and the ranked column travel; a value
+that many rows share is one count, or rows spread by their hash.
 """
 
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass
-from math import ceil
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.functions.running import with_running_sums
+from starloom.session import materialise
+
 
 @dataclass(frozen=True)
 class Rank:
@@ -34,91 +33,41 @@ class Rank:
         return column.desc_nulls_last() if self.descending else column.asc_nulls_last()
 
 
-def add_ranks(
-    df: DataFrame,
-    key: str,
-    ranks: list[Rank],
-    rows_per_range: int = 1_000_000,
-    max_ranges: int = 256,
-) -> DataFrame:
+def add_ranks(df: DataFrame, key: str, ranks: list[Rank]) -> DataFrame:
     """Add whole-table ranks to ``df``, whose ``key`` is unique.
 
     ``df`` is read several times, so pass a written table.
     """
-    rows = df.count()
-    if rows <= rows_per_range:
-        for rank in ranks:
-            df = df.withColumn(rank.name, _plain(rank, key))
-        return df
-    ranges = min(max_ranges, ceil(rows / rows_per_range))
-    wanted = sorted({rank.column for rank in ranks})
-    quantiles = df.select(*[F.col(c).cast("double").alias(c) for c in wanted]).approxQuantile(
-        wanted, [i / ranges for i in range(1, ranges)], 1 / (4 * ranges)
-    )
-    cuts = {column: sorted(set(found)) for column, found in zip(wanted, quantiles)}
+    counts: dict[str, DataFrame] = {}
+    for column in {rank.column for rank in ranks}:
+        grouped = df.groupBy(column).agg(F.count("*").alias("_n"))
+        counts[column] = materialise(grouped, "value_counts")
+    rows = next(iter(counts.values())).agg(F.sum("_n")).first()[0] or 0
     ranked = df
     for rank in ranks:
-        ranked = _ranged(ranked, df, key, rank, cuts[rank.column], rows)
-    return ranked
-
-
-def _tie_break(key: str) -> Column:
-    return F.md5(F.col(key).cast("string"))
-
-
-def _plain(rank: Rank, key: str) -> Column:
-    if rank.kind == "ntile":
-        return F.ntile(rank.tiles).over(Window.orderBy(rank.order(), _tie_break(key)))
-    return F.percent_rank().over(Window.orderBy(rank.order()))
-
+        if rank.kind == "ntile":
+            ranked = ranked.join(_tiles(df, key, rank, rows), key)
+        else:
+            ranked = _with_share(ranked, counts[rank.column], rank, rows)
+    return ranked.select(*[F.col(c) for c in df.columns], *[rank.name for rank in ranks])
+
+
+def _tiles(df: DataFrame, key: str, rank: Rank, rows: int) -> DataFrame:
+    """The tile of every key."""
+    numbered = with_running_sums(
+        df.select(key, rank.column),
+        [rank.order(), F.md5(F.col(key).cast("string")), F.col(key)],
+        {"_position": F.lit(1).cast("long")},
+    )
+    return numbered.select(key, _tile(F.col("_position"), rows, rank.tiles).alias(rank.name))
 
-def _range_of(rank: Rank, kind: str, cuts: list[float]) -> Column:
-    """Number of the range a value falls in; odd numbers hold one single value.
 
-    The cuts are one constant array: a generated comparison tree of this size would be
-    too large to compile.
-    """
-    value = F.col(rank.column)
-    at = F.from_json(F.lit(json.dumps(cuts)), "array<double>").cast(f"array<{kind}>")
-    last = 2 * len(cuts)
-    placed = 2 * F.size(F.filter(at, lambda cut: cut < value))
-    placed = placed + F.array_contains(at, value).cast("int")
-    if rank.descending:
-        placed = F.lit(last) - placed
-    return F.when(value.isNull(), F.lit(last + 1)).otherwise(placed)
-
-
-def _ranged(
-    df: DataFrame, base: DataFrame, key: str, rank: Rank, cuts: list[float], rows: int
-) -> DataFrame:
-    """Add one rank to ``df``; range sizes are counted on ``base``, the table before
-    other ranks were added, so that earlier ranks are not computed again for them."""
-    columns = df.columns
-    number = _range_of(rank, base.schema[rank.column].dataType.simpleString(), cuts)
-    sub = F.when(F.col("_range") % 2 == 1, F.substring(_tie_break(key), 1, 2)).otherwise(F.lit(""))
-    placed = df.withColumn("_range", number).withColumn("_sub", sub)
-    counted = base.select(key, rank.column).withColumn("_range", number).withColumn("_sub", sub)
-    # At most (2 * cuts + 2) * 256 rows, whatever the size of the table.
-    in_order = Window.orderBy("_range", "_sub").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = (
-        counted.groupBy("_range", "_sub")
-        .count()
-        .withColumn("_before", F.coalesce(F.sum("count").over(in_order), F.lit(0)))
-        .withColumn("_before_range", F.min("_before").over(Window.partitionBy("_range")))
-        .drop("count")
-    )
-    piece = Window.partitionBy("_range", "_sub")
-    if rank.kind == "ntile":
-        local = F.row_number().over(piece.orderBy(rank.order(), _tie_break(key)))
-        value = _tile(F.col("_before") + F.col("_local"), rows, rank.tiles)
-    else:
-        local = F.rank().over(piece.orderBy(rank.order()))
-        value = (F.col("_before_range") + F.col("_local") - 1) / F.lit(float(rows - 1))
-    return (
-        placed.withColumn("_local", local)
-        .join(F.broadcast(sizes), ["_range", "_sub"])
-        .select(*columns, value.alias(rank.name))
-    )
+def _with_share(df: DataFrame, counts: DataFrame, rank: Rank, rows: int) -> DataFrame:
+    """Rows with their percent rank, joined by value."""
+    upto = with_running_sums(counts, [rank.order()], {"_upto": F.col("_n")})
+    share = F.lit(0.0) if rows <= 1 else (F.col("_upto") - F.col("_n")) / F.lit(float(rows - 1))
+    values = upto.select(F.col(rank.column).alias("_value"), share.alias(rank.name))
+    return df.join(values, F.col(rank.column).eqNullSafe(F.col("_value"))).drop("_value")
 
 
 def _tile(position: Column, rows: int, tiles: int) -> Column:
@@ -127,6 +76,6 @@ def _tile(position: Column, rows: int, tiles: int) -> Column:
     head = longer * (size + 1)
     return (
         F.when(position <= head, F.floor((position - 1) / (size + 1)) + 1)
-        .otherwise(F.floor((position - 1 - head) / size) + longer + 1)
+        .otherwise(F.floor((position - 1 - head) / max(size, 1)) + longer + 1)
         .cast("int")
     )

@@ -2,12 +2,14 @@
 
 A document's tokens stay in one array: no row per token, no join, no shuffle. Tokens
 outside the word lists are dropped first with a hash lookup, keeping positions, and
-the few that remain are looked up in literal maps.
+the few that remain are looked up in literal hash tables: an array of small maps, one of
+which a checksum of the word picks, so that a lookup costs the same for any list.
 """
 
 from __future__ import annotations
 
 import json
+import zlib
 from collections import defaultdict
 from dataclasses import dataclass, field
 
@@ -17,9 +19,6 @@ from pyspark.sql import functions as F
 # Fixed value: everything but these letters separates tokens.
 SEPARATOR = "[^a-zàâäéèêëîïôöùûüç]+"
 
-# Word lists beyond this size go through joins instead (operators.feedback).
-MAX_INLINE_WORDS = 5_000
-
 
 def tokenise(text: Column) -> Column:
     """Lower-case text to tokens; empty ones at the edges are kept so positions hold."""
@@ -40,8 +39,6 @@ class Vocabulary:
         words = {word for word, _, _ in self.lexicon}
         words |= {keyword for _, _, keyword, _ in self.taxonomy}
         words |= {word for word, _ in self.negations}
-        if len(words) > MAX_INLINE_WORDS:
-            raise ValueError(f"{len(words)} words are too many to inline; use the join form")
         object.__setattr__(self, "words", sorted(words))
 
     def polarity(self) -> dict[str, list[int]]:
@@ -65,9 +62,20 @@ class Vocabulary:
         return found
 
 
-def _literal(entries: dict, kind: str) -> Column:
-    """A constant map by word, parsed once when the plan is optimised."""
-    return F.from_json(F.lit(json.dumps(entries, ensure_ascii=False)), f"map<string,{kind}>")
+class HashTable:
+    """A constant table by word, parsed once when the plan is optimised."""
+
+    def __init__(self, entries: dict, kind: str):
+        self.size = 1 << max(0, (len(entries) - 1).bit_length())
+        slots: list[dict] = [{} for _ in range(self.size)]
+        for word, value in entries.items():
+            slots[zlib.crc32(word.encode()) % self.size][word] = value
+        text = json.dumps(slots, ensure_ascii=False)
+        self.slots = F.from_json(F.lit(text), f"array<map<string,{kind}>>")
+
+    def __getitem__(self, word: Column) -> Column:
+        slot = (F.crc32(word.cast("binary")) % self.size).cast("int")
+        return F.get(self.slots, slot)[word]
 
 
 def known_tokens(tokens: Column, vocabulary: Vocabulary) -> Column:
@@ -82,8 +90,8 @@ def sentiment(known: Column, vocabulary: Vocabulary) -> Column:
     A negation within the ``reach`` tokens before a polarised one turns its sign once.
     """
     polarity = vocabulary.polarity()
-    total = _literal({word: sum(found) for word, found in polarity.items()}, "bigint")
-    count = _literal({word: len(found) for word, found in polarity.items()}, "bigint")
+    total = HashTable({word: sum(found) for word, found in polarity.items()}, "bigint")
+    count = HashTable({word: len(found) for word, found in polarity.items()}, "bigint")
     negations = sorted({word for word, _ in vocabulary.negations})
     far = -vocabulary.reach - 1
     zero = F.lit(0).cast("long")
@@ -103,7 +111,7 @@ def sentiment(known: Column, vocabulary: Vocabulary) -> Column:
 
 def category_matches(known: Column, vocabulary: Vocabulary) -> Column:
     """array<struct<category, priority>>: one entry per matching list row."""
-    by_word = _literal(
+    by_word = HashTable(
         {
             word: [{"category": c, "priority": p} for c, p in found]
             for word, found in vocabulary.categories().items()
@@ -132,6 +140,6 @@ def main_category(matches: Column, default: str = "general") -> Column:
 
 def tags(known: Column, vocabulary: Vocabulary) -> Column:
     """Sorted distinct ``word:neg``, ``word:pos`` and ``category:cat`` tags."""
-    by_word = _literal(vocabulary.tags(), "array<string>")
+    by_word = HashTable(vocabulary.tags(), "array<string>")
     found = F.filter(F.transform(known, lambda token: by_word[token.word]), lambda t: t.isNotNull())
     return F.array_sort(F.array_distinct(F.flatten(found)))

@@ -23,20 +23,18 @@ def rfm_base(
 ) -> DataFrame:
     """Last date, recency, counts and spend per customer.
 
-    The reference day is the latest booking; it comes from a scan of two columns and
-    reaches the aggregation as a single broadcast row.
+    The reference day is the latest booking, found by a scalar subquery.
     """
     kept = bookings.where(F.col("booking_status").isin(*statuses))
-    latest = kept.agg(F.max("booking_date").alias("_today"))
+    latest = kept.agg(F.max("booking_date")).scalar()
     spend = F.col("ticket_price_usd") + F.col("ancillary_revenue_usd")
-    recent = F.datediff("_today", "booking_date") <= window_days
+    recent = F.datediff(latest, F.col("booking_date")) <= window_days
     last = F.max("booking_date")
     return (
-        kept.crossJoin(F.broadcast(latest))
-        .groupBy("customer_id")
+        kept.groupBy("customer_id")
         .agg(
             last.alias("last_booking_date"),
-            F.datediff(F.max("_today"), last).alias("recency_days"),
+            F.datediff(latest, last).alias("recency_days"),
             F.count("*").alias("frequency_total"),
             F.count_if(recent).alias("frequency_12m"),
             F.sum(spend).cast("decimal(38,2)").alias("monetary_total_usd"),
@@ -45,9 +43,9 @@ def rfm_base(
     )
 
 
-def rfm(base: DataFrame, rows_per_range: int = 1_000_000) -> DataFrame:
+def rfm(base: DataFrame) -> DataFrame:
     """Add quintile scores and the spend percentile; ``base`` is a written table."""
-    return add_ranks(base, "customer_id", RFM_RANKS, rows_per_range)
+    return add_ranks(base, "customer_id", RFM_RANKS)
 
 
 def offers_per_customer(bookings: DataFrame, offers: DataFrame) -> DataFrame:

@@ -83,9 +83,14 @@ def sentiment_by_join(
     shuffled for the sums.
     """
     split = feedback.select("feedback_id", tokenise(F.col("normalised_text")).alias("tokens"))
-    placed = split.select("feedback_id", "tokens", F.posexplode("tokens").alias("at", "token"))
-    before = [F.get("tokens", F.col("at") - back).alias(f"before_{back}") for back in range(1, reach + 1)]
-    placed = placed.select("feedback_id", "token", *before)
+
+    def with_words_before(token: Column, at: Column) -> Column:
+        before = [F.get("tokens", at - back).alias(f"before_{back}") for back in range(1, reach + 1)]
+        return F.struct(token.alias("token"), *before)
+
+    # Small structs are exploded; the array of tokens is left behind.
+    placed = split.select("feedback_id", F.transform("tokens", with_words_before).alias("tokens"))
+    placed = placed.select("feedback_id", F.inline("tokens"))
     words = lexicon.select(F.col("word").alias("token"), "polarity")
     found = placed.join(words, "token")
     turned = F.lit(False)

@@ -19,15 +19,15 @@ def _within(name: str, value: int, low: int, high: int) -> None:
 def routes_with_kpis(monthly: DataFrame, period_months: int = 12, limit: int = 20) -> DataFrame:
     """Indicators per route over the last months, best revenue first.
 
-    ``monthly`` is read twice, so pass a written table. The window holds exactly ``period_months`` months, the latest included.
+    ``monthly`` is read twice, so pass a written table. The window holds exactly
+    ``period_months`` months, the latest included.
     """
     _within("period_months", period_months, 1, 24)
     _within("limit", limit, 1, 50)
-    latest = F.broadcast(monthly.agg(F.max("period_month").alias("_last")))
+    before = monthly.agg(F.add_months(F.max("period_month"), -period_months)).scalar()
     revenue = F.sum("revenue_usd")
     return (
-        monthly.crossJoin(latest)
-        .where(F.col("period_month") > F.add_months("_last", -period_months))
+        monthly.where(F.col("period_month") > before)
         .groupBy("route_id")
         .agg(
             F.round(revenue, 0).cast("decimal(38,0)").alias("revenue_usd"),

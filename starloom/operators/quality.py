@@ -147,43 +147,42 @@ def _row_rules(df: DataFrame, checks: list[Check]) -> DataFrame:
     return df.agg(*counts).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
+def _per_key(df: DataFrame, column: str) -> DataFrame:
+    """Rows per value of a column. All rules on a column start from this one grouping,
+    whose exchange Spark then uses again."""
+    return df.groupBy(F.col(column).alias("_key")).agg(F.count("*").alias("_n"))
+
+
 def _unique(df: DataFrame, check: Check) -> DataFrame:
     """Counts the values that occur more than once."""
-    repeated = (
-        df.where(F.col(check.column).isNotNull())
-        .groupBy(check.column)
-        .agg(F.count("*").alias("n"))
-        .agg(F.count_if(F.col("n") > 1).alias("v"))
-    )
-    return repeated.select(_row(check.table, check.rule, check.column, F.col("v")).alias("r")).select("r.*")
+    repeated = F.count_if(F.col("_key").isNotNull() & (F.col("_n") > 1)).alias("v")
+    counted = _per_key(df, check.column).agg(repeated)
+    return counted.select(_row(check.table, check.rule, check.column, F.col("v")).alias("r")).select("r.*")
 
 
 def _relationship(df: DataFrame, parent: DataFrame, check: Check) -> DataFrame:
-    """Counts child rows without a parent; children are counted per key first, so a
+    """Counts child rows without a parent; both sides are counted per key first, so a
     frequent key is one row in the join."""
-    child = (
-        df.where(F.col(check.column).isNotNull())
-        .groupBy(F.col(check.column).alias("_key"))
-        .agg(F.count("*").alias("n"))
-    )
-    known = parent.select(F.col(check.parent[1]).alias("_key"))
-    orphans = child.join(known, "_key", "left_anti").agg(F.sum("n").alias("v"))
+    child = _per_key(df, check.column).where("_key is not null")
+    known = _per_key(parent, check.parent[1]).select("_key")
+    orphans = child.join(known, "_key", "left_anti").agg(F.sum("_n").alias("v"))
     return orphans.select(_row(check.table, check.rule, check.column, F.col("v")).alias("r")).select("r.*")
 
 
 def run_checks(tables: Mapping[str, DataFrame], checks: list[Check]) -> DataFrame:
     """One report over all checks."""
+    frames = {name: tables[name] for c in checks for name in (c.table, *(c.parent or ())[:1])}
     by_table = defaultdict(list)
     parts = []
     for check in checks:
         if check.rule == "unique":
-            parts.append(_unique(tables[check.table], check))
+            parts.append(_unique(frames[check.table], check))
         elif check.rule == "relationships":
-            parts.append(_relationship(tables[check.table], tables[check.parent[0]], check))
+            parts.append(_relationship(frames[check.table], frames[check.parent[0]], check))
         else:
             by_table[check.table].append(check)
     for table, own in by_table.items():
-        parts.append(_row_rules(tables[table], own))
+        parts.append(_row_rules(frames[table], own))
     return stack(parts)
 
 

@@ -55,9 +55,13 @@ class Report:
     where: str = ""
     order: list[str] = field(default_factory=list)
     limit: int = 0
+    newest: bool = False  # what the limit keeps is the end of the order, not its start
     month_grain: str = ""
 
 
+_AS_DECLARED = -1
+
+
 # The dashboard's queries.
 _MARGIN = share(total("margin_usd"), total("revenue_usd"))
 _FILL = share(total("total_pax"), total("total_seat_capacity"))
@@ -85,7 +89,7 @@ REPORTS = {
     "punctuality_trend": Report(
         "int_route_monthly_perf", ["period_month"],
         {"otp15": mean("otp15_rate"), "cancel_rate": mean("cancellation_rate")},
-        order=["period_month"], limit=50,
+        order=["period_month"], limit=50, newest=True,
     ),
     "yield_by_route_type": Report(
         "fct_flights", ["route_type"],
@@ -108,7 +112,7 @@ REPORTS = {
     ),
     "sentiment_trend": Report(
         "fct_customer_feedback", ["feedback_date"], {"avg_sentiment": mean("sentiment_score")},
-        order=["feedback_date"], limit=50, month_grain="feedback_date",
+        order=["feedback_date"], limit=50, newest=True, month_grain="feedback_date",
     ),
     "upgrade_conversion_by_tier": Report(
         "fct_ancillary_offers", ["loyalty_tier"],
@@ -187,8 +191,13 @@ def report(
     since: dt.date | None = None,
     until: dt.date | None = None,
     routes: list[str] | None = None,
+    limit: int | None = _AS_DECLARED,
 ) -> DataFrame:
-    """Run one report, with the page filters applied to the rows first."""
+    """Run one report, with the page filters applied to the rows first.
+
+    ``limit`` replaces the declared number of rows; None gives every row. Trends keep
+    their newest months.
+    """
     spec = REPORTS[name]
     df = filtered(tables[spec.table], spec.table, since, until, routes)
     if spec.where:
@@ -201,7 +210,14 @@ def report(
         )
     else:
         df = df.select(*spec.columns)
-    return df.orderBy(*_order(spec.order)).limit(spec.limit)
+    limit = spec.limit if limit == _AS_DECLARED else limit
+    if limit is None:
+        return df.orderBy(*_order(spec.order))
+    if spec.newest:
+        turned = [n[1:] if n.startswith("-") else f"-{n}" for n in spec.order]
+        df = df.orderBy(*_order(turned)).limit(limit)
+        return df.orderBy(*_order(spec.order))
+    return df.orderBy(*_order(spec.order)).limit(limit)
 
 
 def segment_matrix(

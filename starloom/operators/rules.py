@@ -64,19 +64,20 @@ IROPS_HEAVY = Rule(
 )
 
 
-def _one_row(df: DataFrame, value: Column, name: str) -> DataFrame:
-    return F.broadcast(df.agg(value.alias(name)))
+def _since(df: DataFrame, first: Column) -> Column:
+    """The first day of a window that ends with the last one of ``df``: a scalar subquery,
+    so that a comparison with it reaches the scan."""
+    return df.agg(first).scalar()
 
 
 def high_value_at_risk(
-    lifetime: DataFrame, feedback: DataFrame, rule: Rule = HIGH_VALUE_AT_RISK, **ranks
+    lifetime: DataFrame, feedback: DataFrame, rule: Rule = HIGH_VALUE_AT_RISK
 ) -> DataFrame:
     """Big spenders drifting away with a sign of discontent; ``lifetime`` is written."""
     ranked = add_ranks(
         lifetime,
         "customer_id",
         [Rank("recency_percentile", "recency_days"), Rank("monetary_total_percentile", "monetary_total_usd")],
-        **ranks,
     )
     mood = feedback.groupBy("customer_id").agg(
         F.count_if("is_negative").alias("complaint_count"),
@@ -93,7 +94,7 @@ def high_value_at_risk(
 
 
 def strategic_underperforming(
-    monthly: DataFrame, routes: DataFrame, rule: Rule = STRATEGIC_UNDERPERFORMING, months: int = 12, **ranks
+    monthly: DataFrame, routes: DataFrame, rule: Rule = STRATEGIC_UNDERPERFORMING, months: int = 12
 ) -> DataFrame:
     """Strategic routes in the lower half of margins although well filled.
 
@@ -101,11 +102,10 @@ def strategic_underperforming(
     and the ``months`` before it.
     """
     known = routes.where("is_strategic").select("route_id", "route_type", "distance_band")
-    latest = _one_row(monthly, F.max("period_month"), "_last")
+    first = _since(monthly, F.add_months(F.max("period_month"), -months))
     revenue, cost = F.sum("revenue_usd"), F.sum("operating_cost_usd")
     per_route = (
-        monthly.crossJoin(latest)
-        .where(F.col("period_month") >= F.add_months("_last", -months))
+        monthly.where(F.col("period_month") >= first)
         .groupBy("route_id")
         .agg(
             F.sum("flights_operated").alias("flights_operated_12m"),
@@ -121,7 +121,7 @@ def strategic_underperforming(
     )
     name = "margin_percentile_among_strategic"
     ranked = add_ranks(
-        materialise(per_route, "strategic_routes"), "route_id", [Rank(name, "margin_pct_12m")], **ranks
+        materialise(per_route, "strategic_routes"), "route_id", [Rank(name, "margin_pct_12m")]
     )
     return rule.apply(
         ranked.select(
@@ -136,7 +136,7 @@ def premium_upsell(
     offers: DataFrame, customers: DataFrame, rule: Rule = PREMIUM_UPSELL,
     segments: tuple[str, ...] = ("Standard", "Business"),
     tiers: tuple[str, ...] = ("Silver", "Gold"),
-    offer_types: tuple[str, ...] = ("upgrade_W", "upgrade_J"), **ranks,
+    offer_types: tuple[str, ...] = ("upgrade_W", "upgrade_J"),
 ) -> DataFrame:
     """Members whose acceptance of upgrades is in the top quarter."""
     eligible = customers.where(
@@ -155,7 +155,7 @@ def premium_upsell(
     )
     ranked = add_ranks(
         materialise(per_customer, "upgrade_offers"), "customer_id",
-        [Rank("acceptance_percentile", "upgrade_acceptance_rate")], **ranks,
+        [Rank("acceptance_percentile", "upgrade_acceptance_rate")],
     )
     return rule.apply(
         ranked.select(
@@ -170,10 +170,9 @@ def loyal_detractor(
     tier: str = "Gold", days: int = 180,
 ) -> DataFrame:
     """Frequent top-tier customers whose recent feedback is bad."""
-    latest = _one_row(feedback, F.max("feedback_date"), "_last")
+    first = _since(feedback, F.date_sub(F.max("feedback_date"), days))
     recent = (
-        feedback.crossJoin(latest)
-        .where(F.col("feedback_date") >= F.date_sub("_last", days))
+        feedback.where(F.col("feedback_date") >= first)
         .groupBy("customer_id")
         .agg(
             F.count("*").alias("feedback_count_6m"),
@@ -191,14 +190,13 @@ def loyal_detractor(
 
 
 def irops_heavy(
-    flights: DataFrame, routes: DataFrame, rule: Rule = IROPS_HEAVY, months: int = 12, **ranks
+    flights: DataFrame, routes: DataFrame, rule: Rule = IROPS_HEAVY, months: int = 12
 ) -> DataFrame:
     """Routes with many disruptions or too many cancellations in the last months."""
-    latest = _one_row(flights, F.max("flight_date"), "_last")
+    first = _since(flights, F.add_months(F.max("flight_date"), -months))
     total = F.count("*")
     per_route = (
-        flights.crossJoin(latest)
-        .where(F.col("flight_date") >= F.add_months("_last", -months))
+        flights.where(F.col("flight_date") >= first)
         .groupBy("route_id")
         .agg(
             total.alias("total_flights_12m"),
@@ -210,7 +208,7 @@ def irops_heavy(
     )
     ranked = add_ranks(
         materialise(per_route, "route_operations"), "route_id",
-        [Rank("disruption_percentile", "disruption_rate_12m")], **ranks,
+        [Rank("disruption_percentile", "disruption_rate_12m")],
     )
     known = routes.select("route_id", "route_type", "distance_band", "is_strategic")
     return rule.apply(

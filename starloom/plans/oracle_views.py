@@ -77,7 +77,7 @@ select s.*, coalesce(pax_flown, 0) as pax_count,
        earned - spent as flight_margin_usd,
        case when earned > 0 then (earned - spent) / earned end as flight_margin_pct,
        case when seat_capacity > 0 then coalesce(pax_flown, 0) / seat_capacity end as load_factor,
-       if(flight_status = 'Cancelled', null, coalesce(delay_min, 999) <= 15) as is_on_time_15,
+       if(flight_status = 'Cancelled', null, coalesce(delay_min <= 15, false)) as is_on_time_15,
        disruption_type, severity as disruption_severity, duration_min as disruption_duration_min,
        root_cause_text, severity_flag as origin_weather_severity
 from (
@@ -269,7 +269,7 @@ select {_key("fare_class", "fare_family")} as fare_sk, fare_class, fare_family,
             when 'Business' then 'J' end as cabin_code,
        case fare_family when 'Flex' then 'flexible' when 'Standard' then 'standard'
             when 'Basic' then 'restrictive' end as fare_rule_band,
-       fare_class in ('Premium Economy', 'Business') as is_premium_cabin
+       fare_class in ('Business', 'Premium Economy') as is_premium_cabin
 from stg_bookings group by fare_class, fare_family"""
 
 VIEWS["dim_route"] = f"""
@@ -423,7 +423,7 @@ with tried as (
            count(*) filter (presented_flag) as upgrade_offers_presented,
            count(*) filter (accepted_flag) as upgrade_offers_accepted
     from fct_ancillary_offers
-    where offer_type like 'upgrade%' and customer_segment in ('Standard', 'Business')
+    where offer_type in ('upgrade_W', 'upgrade_J') and customer_segment in ('Standard', 'Business')
       and loyalty_tier in ('Silver', 'Gold')
     group by customer_id
 ), rated as (
@@ -432,7 +432,7 @@ with tried as (
 )
 select *, percent_rank() over (order by upgrade_acceptance_rate) as acceptance_percentile,
        'PremiumUpsellCandidate' as ontology_concept
-from rated qualify acceptance_percentile >= 0.75::double and upgrade_offers_presented > 1"""
+from rated qualify acceptance_percentile >= 0.75::double and upgrade_offers_presented >= 2"""
 
 VIEWS["ont_loyal_detractor"] = """
 with recent as (
@@ -445,7 +445,7 @@ with recent as (
 select customer_id, customer_segment, loyalty_tier, frequency_12m, feedback_count_6m,
        avg_sentiment_6m, negative_count_6m, 'LoyalDetractor' as ontology_concept
 from dim_customer_current join rfm_base using (customer_id) join recent using (customer_id)
-where loyalty_tier = 'Gold' and frequency_12m > 3 and avg_sentiment_6m < -0.3::double"""
+where loyalty_tier = 'Gold' and frequency_12m >= 4 and avg_sentiment_6m < -0.3::double"""
 
 VIEWS["ont_irops_heavy_route"] = """
 with year as (

@@ -37,7 +37,7 @@ from starloom.sources.schemas import SOURCES
 Job = Callable[[Warehouse], DataFrame]
 
 
-def warehouse(spark: SparkSession, folder: str, rows_per_range: int = 1_000_000) -> Warehouse:
+def warehouse(spark: SparkSession, folder: str) -> Warehouse:
     """The star schema over the parquet tables in ``folder``."""
     bind = Binder(prepare(spark), folder)
 
@@ -53,7 +53,6 @@ def warehouse(spark: SparkSession, folder: str, rows_per_range: int = 1_000_000)
         dt.date.fromisoformat(TODAY),
         dt.datetime.fromisoformat(SECOND_SNAPSHOT),
         history,
-        rows_per_range,
     )
 
 
@@ -83,14 +82,14 @@ CHECKS: dict[str, str] = {}
 
 def _add(
     name: str, job: Job, sql: str, money: str = "", days: str = "", times: str = "",
-    rounded: str = "", drop: str = "", order: str = "", rows_per_range: int = 1_000_000,
+    rounded: str = "", drop: str = "", order: str = "",
 ) -> None:
     """Register a job. ``sql`` is a view name or a SELECT; the column lists say which
     of its columns to show as doubles, days, times or rounded, and which to leave out.
     ``order`` ends the SQL with an order and limit."""
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        df = job(warehouse(spark, folder, rows_per_range))
+        df = job(warehouse(spark, folder))
         df = df.drop("_loaded_at", "inferred_at", *drop.split())
         return shown(df, rounded)
 
@@ -161,7 +160,7 @@ _table("customer_rfm_base", "rfm_base", money=_RFM_MONEY, days="last_booking_dat
 _table("customer_rfm", "int_customer_rfm", money=_RFM_MONEY, days="last_booking_date")
 _add(
     "customer_rfm_ranged", lambda w: w["int_customer_rfm"], "int_customer_rfm",
-    money=_RFM_MONEY, days="last_booking_date", rows_per_range=100,
+    money=_RFM_MONEY, days="last_booking_date",
 )
 _table("offers_per_customer")
 _table(
@@ -271,7 +270,7 @@ _RISK = {
 _table("high_value_at_risk", "ont_high_value_at_risk_customer", **_RISK)
 _add(
     "high_value_at_risk_ranged", lambda w: w["ont_high_value_at_risk_customer"],
-    "ont_high_value_at_risk_customer", rows_per_range=100, **_RISK,
+    "ont_high_value_at_risk_customer", **_RISK,
 )
 _table(
     "strategic_underperforming", "ont_strategic_underperforming_route",
@@ -448,7 +447,7 @@ _add(
 
 
 def _report(name: str, sql: str, kinds: dict[str, str], **filters) -> None:
-    base = name.removesuffix("_filtered")
+    base = name.removesuffix("_filtered").removesuffix("_uncut")
     _add(f"report_{name}", lambda w: reports.report(base, w, **filters), sql, **kinds)
 
 
@@ -492,8 +491,9 @@ _report(
 )
 _report(
     "punctuality_trend",
-    """select period_month, avg(otp15_rate) as otp15, avg(cancellation_rate) as cancel_rate
-       from int_route_monthly_perf group by 1 order by 1 limit 50""",
+    """select * from (
+           select period_month, avg(otp15_rate) as otp15, avg(cancellation_rate) as cancel_rate
+           from int_route_monthly_perf group by 1 order by 1 desc limit 50) newest order by 1""",
     {"rounded": "otp15 cancel_rate", "days": "period_month"},
 )
 _report(
@@ -525,9 +525,10 @@ _report(
 )
 _report(
     "sentiment_trend",
-    """select date_trunc('month', feedback_date)::date as feedback_date,
-              avg(sentiment_score) as avg_sentiment
-       from fct_customer_feedback group by 1 order by 1 limit 50""",
+    """select * from (
+           select date_trunc('month', feedback_date)::date as feedback_date,
+                  avg(sentiment_score) as avg_sentiment
+           from fct_customer_feedback group by 1 order by 1 desc limit 50) newest order by 1""",
     {"rounded": "avg_sentiment", "days": "feedback_date"},
 )
 _report(
@@ -535,7 +536,7 @@ _report(
     """select loyalty_tier, count(*) filter (accepted_flag) / count(*) filter (presented_flag)
                   as conversion_rate
        from fct_ancillary_offers
-       where offer_type in ('upgrade_J', 'upgrade_W') and loyalty_tier is not null
+       where offer_type in ('upgrade_W', 'upgrade_J') and loyalty_tier is not null
        group by 1 order by 2 desc, 1 limit 10""",
     {"rounded": "conversion_rate"},
 )
@@ -572,6 +573,38 @@ _report(
     {"money": "monetary_total_usd", "rounded": "avg_sentiment ltv_proxy_usd"},
 )
 _report("offers_to_prioritise", _UPSELL_SQL.format(50), {})
+_report(
+    "route_kpi_drilldown_uncut",
+    f"""select route_id, period_month, sum(revenue_usd) as revenue, {_SUM_MARGIN} as margin_pct,
+               {_SUM_FILL} as load_factor, avg(otp15_rate) as otp15,
+               avg(cancellation_rate) as cancel_rate, sum(total_pax)::bigint as pax,
+               sum(flights_scheduled)::bigint as flights
+        from int_route_monthly_perf group by 1, 2""",
+    {"money": "revenue", "rounded": "margin_pct load_factor otp15 cancel_rate", "days": "period_month"},
+    limit=None,
+)
+_report(
+    "punctuality_trend_uncut",
+    """select period_month, avg(otp15_rate) as otp15, avg(cancellation_rate) as cancel_rate
+       from int_route_monthly_perf group by 1""",
+    {"rounded": "otp15 cancel_rate", "days": "period_month"},
+    limit=None,
+)
+_report(
+    "complaint_heatmap_uncut",
+    """select route_id, top_theme_1, avg(avg_sentiment) as avg_sentiment
+       from int_route_complaint_themes group by 1, 2""",
+    {"rounded": "avg_sentiment"},
+    limit=None,
+)
+_report(
+    "sentiment_trend_uncut",
+    """select date_trunc('month', feedback_date)::date as feedback_date,
+              avg(sentiment_score) as avg_sentiment
+       from fct_customer_feedback group by 1""",
+    {"rounded": "avg_sentiment", "days": "feedback_date"},
+    limit=None,
+)
 _add(
     "report_segment_matrix",
     lambda w: reports.segment_matrix(w["dim_customer_current"]),
@@ -808,7 +841,7 @@ _add(
         enrich.weather_severity(F.col("precipitation_mm"), F.col("wind_kph")).alias("severity"),
     ),
     """select airport_code, weather_date, case when precipitation_mm > 25 then 'High' when wind_kph > 40
-              then 'High' when greatest(precipitation_mm, wind_kph - 20) > 10 then 'Medium' else 'Low'
+              then 'High' when precipitation_mm > 10 or wind_kph > 30 then 'Medium' else 'Low'
               end as severity from stg_weather_daily""",
     days="weather_date",
 )

@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starloom.functions.text import Vocabulary
 from starloom.operators import customers as cust
 from starloom.operators import dimensions as dim
-from starloom.operators import facts, feedback, flights, rules, scd2
+from starloom.operators import facts, feedback, flights, quality, rules, scd2
 from starloom.session import materialise, prepare
 from starloom.sources.readers import stage
 from starloom.sources.schemas import SOURCES
@@ -35,7 +38,6 @@ class Warehouse(Mapping):
         today: dt.date,
         snapshot_at: dt.datetime,
         history: Callable[[], DataFrame] | None = None,
-        rows_per_range: int = 1_000_000,
     ):
         self.spark = prepare(spark)
         self.inputs = inputs
@@ -43,7 +45,6 @@ class Warehouse(Mapping):
         self.today = today
         self.snapshot_at = snapshot_at
         self.history = history
-        self.ranks = {"rows_per_range": rows_per_range}
         self._frames: dict[str, DataFrame] = {}
         self._written: dict[str, DataFrame] = {}
 
@@ -70,22 +71,56 @@ class Warehouse(Mapping):
             self._written[name] = materialise(self[name], name)
         return self._written[name]
 
-    def build(self, folder: str, at_once: int = 4) -> dict[str, DataFrame]:
-        """Write every table below ``folder``, each from the tables written before it.
+    def build(self, folder: str, at_once: int = 4, check: bool = False) -> dict[str, DataFrame]:
+        """Write every table to a new version below ``folder``, each from the tables written
+        before it, then make that version the current one.
 
         Tables of one step do not read each other; a few are written at the same time
-        so that small ones do not leave the cluster idle.
+        so that small ones do not leave the cluster idle. Nothing of an earlier version is
+        touched, so a build that fails leaves it readable, and the customer history may be
+        read from it (``stored_history``). With ``check`` the declared checks run before the
+        switch, and a violated rule on keys stops it.
         """
+        version = f"{self.snapshot_at:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+        built: dict[str, DataFrame] = {}
         with ThreadPoolExecutor(at_once) as pool:
             for step in _STEPS:
-                frames = {name: self[name] for name in step}
                 writes = {
-                    name: pool.submit(write_table, df, f"{folder}/{name}", _DAYS.get(name))
-                    for name, df in frames.items()
-                    if name not in self._written
+                    name: pool.submit(write_table, self[name], f"{folder}/{version}/{name}", _DAYS.get(name))
+                    for name in step
                 }
-                self._written.update({name: write.result() for name, write in writes.items()})
-        return dict(self._written)
+                for name, write in writes.items():
+                    built[name] = self._written[name] = write.result()
+        if check:
+            broken = quality.run_checks(self, quality.MART_CHECKS + quality.CONCEPT_CHECKS)
+            broken = broken.where("not passed and rule in ('unique', 'not_null')").collect()
+            if broken:
+                raise ValueError(f"not switched to {version}: {[tuple(r) for r in broken]}")
+        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        pointer = self.spark.createDataFrame([(version, now)], "version string, built_at timestamp_ntz")
+        pointer.coalesce(1).write.mode("append").parquet(f"{folder}/{_POINTER}")
+        return built
+
+
+_POINTER = "_current"
+
+
+def current_version(spark: SparkSession, folder: str) -> str | None:
+    """Path of the version built last below ``folder``; None before the first."""
+    try:
+        pointers = spark.read.schema("version string, built_at timestamp_ntz").parquet(f"{folder}/{_POINTER}")
+        last = pointers.agg(F.max_by("version", "built_at")).first()[0]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return last and f"{folder}/{last}"
+
+
+def stored_history(spark: SparkSession, folder: str) -> Callable[[], DataFrame] | None:
+    """The customer history of the current version, for the next build; None at the first."""
+    path = current_version(spark, folder)
+    return path and (lambda: spark.read.parquet(f"{path}/dim_customer_snapshot"))
 
 
 def _snapshot(w: Warehouse) -> DataFrame:
@@ -120,7 +155,7 @@ _BUILDERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     ),
     "int_route_monthly_perf": lambda w: flights.route_monthly(w["int_flight_full"]),
     "rfm_base": lambda w: cust.rfm_base(w["stg_bookings"]),
-    "int_customer_rfm": lambda w: cust.rfm(w.written("rfm_base"), **w.ranks),
+    "int_customer_rfm": lambda w: cust.rfm(w.written("rfm_base")),
     "offers_per_customer": lambda w: cust.offers_per_customer(
         w["stg_bookings"], w["stg_ancillary_offers"]
     ),
@@ -150,18 +185,18 @@ _BUILDERS: dict[str, Callable[[Warehouse], DataFrame]] = {
         w["feedback_read"], w["dim_customer_current"], w["dim_route"], w["stg_flights"]
     ),
     "ont_high_value_at_risk_customer": lambda w: rules.high_value_at_risk(
-        w.written("int_customer_lifetime"), w["fct_customer_feedback"], **w.ranks
+        w.written("int_customer_lifetime"), w["fct_customer_feedback"]
     ),
     "ont_strategic_underperforming_route": lambda w: rules.strategic_underperforming(
-        w.written("int_route_monthly_perf"), w["dim_route"], **w.ranks
+        w.written("int_route_monthly_perf"), w["dim_route"]
     ),
     "ont_premium_upsell_candidate": lambda w: rules.premium_upsell(
-        w["fct_ancillary_offers"], w["dim_customer_current"], **w.ranks
+        w["fct_ancillary_offers"], w["dim_customer_current"]
     ),
     "ont_loyal_detractor": lambda w: rules.loyal_detractor(
         w["dim_customer_current"], w["rfm_base"], w["fct_customer_feedback"]
     ),
-    "ont_irops_heavy_route": lambda w: rules.irops_heavy(w["fct_flights"], w["dim_route"], **w.ranks),
+    "ont_irops_heavy_route": lambda w: rules.irops_heavy(w["fct_flights"], w["dim_route"]),
 }
 
 # What is written, step by step; the other names are steps inside these tables.

@@ -1,82 +1,34 @@
-"""The word lists of the text pipeline.
+"""The word lists of the text pipeline, read from ``seeds/*.csv``.
 
-Each list must hold exactly these entries for results to agree. A word that is
-listed under both languages counts once per listing.
+Fixed values: each list must hold exactly these entries for results to agree. A word that
+is listed under both languages counts once per listing.
 """
 
 from __future__ import annotations
 
+import csv
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
 from starloom.sources.schemas import SEED_SCHEMAS
 
-# (language, polarity, words)
-_POLARITY = [
-    ("fr", -1, """
-        retardé retard retards attente décalé décaler perdu perdus perdue cassé cassée
-        abîmé abîmée désagréable désagréables impoli impolis mauvais mauvaise
-        inacceptable inacceptables déçu déçue décevant décevante catastrophe
-        catastrophique nul nulle horrible froid froide immangeable ridicule pénible
-        bondé bondée buggué bugguée refusé refusée impossible problème problèmes plainte
-        plaintes tendu tendue indiscipliné"""),
-    ("en", -1, """
-        delayed delay delays late wait waiting lost damaged broken rude unfriendly
-        unprofessional poor bad worst nightmare horrible disappointing disappointed slow
-        crashed crowded overcrowded ignored pain issue issues problem problems complaint
-        complaints unacceptable disrupted struggle"""),
-    ("fr", 1, """
-        parfait parfaite excellent excellente bravo fantastique adorable adorables
-        professionnel professionnelle souriant souriante agréable agréables confortable
-        confortables bon bonne bons recommande recommander recommandé remarquable
-        efficient efficace rapide calme ponctuel ponctuelle surclassement gratuit
-        gratuite merci top"""),
-    ("en", 1, """
-        outstanding excellent amazing fantastic great good solid smooth friendly
-        attentive professional nice pleasant worth recommend recommended comfortable
-        clean quick fast fair top loved love thanks thank perfect surprisingly"""),
-]
+_FOLDER = Path(__file__).parent / "seeds"
+
 
-# category -> language -> keyword:priority
-_TAXONOMY = [
-    ("delay", "fr", "retardé:1 retard:1 attente:2 décalé:2"),
-    ("delay", "en", "delayed:1 delay:1 late:2 wait:3"),
-    ("baggage", "fr", "bagage:1 bagages:1 valise:1 valises:1"),
-    ("baggage", "en", "baggage:1 luggage:1 bag:2 suitcase:1"),
-    ("crew", "fr", "équipage:1 hôtesse:1 hôtesses:1 personnel:2"),
-    ("crew", "en", "crew:1 staff:2 attendant:1 attendants:1"),
-    ("food", "fr", "repas:1 plateau:2 nourriture:1 dessert:3"),
-    ("food", "en", "meal:1 meals:1 food:1 catering:1"),
-    ("seat", "fr", "siège:1 sièges:1 inclinaison:2 jambes:2"),
-    ("seat", "en", "seat:1 seats:1 legroom:2 recline:2"),
-    ("booking_app", "fr", "site:2 application:1 paiement:2 bug:1"),
-    ("booking_app", "en", "app:1 website:1 booking:2 payment:2"),
-    ("lounge", "fr", "salon:1"),
-    ("lounge", "en", "lounge:1"),
-    ("upgrade", "fr", "surclassement:1 upgrade:1"),
-    ("upgrade", "en", "upgrade:1 upgrades:1"),
-    ("refund", "fr", "remboursement:1 rembourser:1"),
-    ("refund", "en", "refund:1 reimburse:1"),
-    ("disruption", "fr", "annulé:1 annulation:1"),
-    ("disruption", "en", "cancelled:1 cancellation:1"),
-]
+def seed_rows(name: str, folder: Path = _FOLDER) -> list[tuple]:
+    """Entries of one list, in the order of the file; whole-number columns as int."""
+    whole = {column.split()[0] for column in SEED_SCHEMAS[name].split(", ") if column.endswith(" int")}
+    with open(folder / f"{name}.csv", encoding="utf-8", newline="") as file:
+        return [
+            tuple(int(value) if column in whole else value for column, value in row.items())
+            for row in csv.DictReader(file)
+        ]
 
-# (language, words)
-_NEGATION = [
-    ("fr", "pas ne n non jamais sans aucun aucune rien plus"),
-    ("en", "not no never none nothing without neither nor"),
-]
 
-LEXICON = [
-    (word, language, polarity)
-    for language, polarity, words in _POLARITY
-    for word in words.split()
-]
-TAXONOMY = [
-    (category, language, keyword, int(priority))
-    for category, language, entries in _TAXONOMY
-    for keyword, priority in (entry.split(":") for entry in entries.split())
-]
-NEGATIONS = [(word, language) for language, words in _NEGATION for word in words.split()]
+LEXICON = seed_rows("lexicon_sentiment")
+TAXONOMY = seed_rows("complaint_taxonomy")
+NEGATIONS = seed_rows("negation_words")
 
 SEEDS = {
     "lexicon_sentiment": LEXICON,

@@ -7,21 +7,6 @@ from pyspark.sql import DataFrame, SparkSession
 from starloom.sources.schemas import RENAMES, SEED_SCHEMAS, columns
 
 
-def open_table(spark: SparkSession, path: str, key: str, few_files: int = 16) -> DataFrame:
-    """Scan a parquet table whose rows are many.
-
-    One file with one row group is read by one task, and everything up to the next
-    shuffle runs in that task too. A table of a few files is therefore spread over the
-    cores by its key; one of ``few_files`` or more is taken as it is, so no large table
-    is shuffled here.
-    """
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if len(df.inputFiles()) < min(cores, few_files):
-        df = df.repartition(cores, key)
-    return df
-
-
 def read_source(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """Scan ``{folder}/{name}.parquet`` and keep the contract's columns.
 

@@ -5,6 +5,8 @@ Fixed values: the names and types below are the data contract of the inputs.
 
 from __future__ import annotations
 
+import re
+
 # source -> [(column, type, name after staging)]
 _SPECS = {
     "airports": """
@@ -30,33 +32,33 @@ _SPECS = {
     "bookings": """
         booking_id string, booking_date date, customer_id string, flight_id string,
         booking_channel string, fare_class string, fare_family string,
-        ticket_price_usd decimal(10;2), ancillary_revenue_usd decimal(10;2),
+        ticket_price_usd decimal(10,2), ancillary_revenue_usd decimal(10,2),
         bags_count int, seat_selection_flag int, booking_status string""",
     "flight_costs": """
-        flight_id string, block_hours decimal(8;3), fuel_cost_usd decimal(10;2),
-        crew_cost_usd decimal(10;2), airport_fees_usd decimal(10;2),
-        maintenance_alloc_usd decimal(10;2), irops_penalty_usd decimal(10;2),
-        total_operating_cost_usd decimal(10;2)""",
+        flight_id string, block_hours decimal(8,3), fuel_cost_usd decimal(10,2),
+        crew_cost_usd decimal(10,2), airport_fees_usd decimal(10,2),
+        maintenance_alloc_usd decimal(10,2), irops_penalty_usd decimal(10,2),
+        total_operating_cost_usd decimal(10,2)""",
     "disruptions": """
         disruption_id string, flight_id string, disruption_type string,
         severity string, duration_min int, root_cause_text string""",
     "weather_daily": """
-        airport_code string, weather_date date, precipitation_mm decimal(6;1),
-        wind_kph decimal(6;1), severity_flag string""",
+        airport_code string, weather_date date, precipitation_mm decimal(6,1),
+        wind_kph decimal(6,1), severity_flag string""",
     "loyalty_activity": """
         loyalty_event_id string, customer_id string, tier_at_event string,
         event_type string, points_delta int, event_date timestamp_ntz,
         flight_id string, route_id string""",
     "ancillary_offers": """
         ancillary_offer_id string, booking_id string, offer_type string,
-        offer_price_usd decimal(10;2), presented_flag boolean, accepted_flag boolean,
+        offer_price_usd decimal(10,2), presented_flag boolean, accepted_flag boolean,
         offer_date timestamp_ntz""",
     "cargo_shipments": """
-        cargo_shipment_id string, flight_id string, weight_kg decimal(10;1),
-        revenue_usd decimal(10;2), cargo_type string, shipper_country string""",
+        cargo_shipment_id string, flight_id string, weight_kg decimal(10,1),
+        revenue_usd decimal(10,2), cargo_type string, shipper_country string""",
     "competitors": """
         route_id string, competitor_name string, snapshot_month date,
-        avg_fare_usd decimal(10;2), weekly_frequency int""",
+        avg_fare_usd decimal(10,2), weekly_frequency int""",
     "customer_feedback": """
         feedback_id string, customer_id string, booking_id string, flight_id string,
         route_id string, feedback_channel string, feedback_date timestamp_ntz,
@@ -85,8 +87,8 @@ SEED_SCHEMAS = {
 
 def columns(source: str) -> list[tuple[str, str]]:
     """(name, type) pairs of one input, in order."""
-    pairs = (item.split(None, 1) for item in _SPECS[source].split(","))
-    return [(name, kind.strip().replace(";", ",")) for name, kind in pairs]
+    items = re.split(r",\s*(?![^(]*\))", _SPECS[source].strip())  # not inside brackets
+    return [tuple(item.split(None, 1)) for item in items]
 
 
 def schema(source: str) -> str:

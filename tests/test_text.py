@@ -108,9 +108,19 @@ def test_word_features_need_no_shuffle(stage):
     assert "Join" not in plan
 
 
-def test_too_many_words_are_refused():
-    with pytest.raises(ValueError):
-        Vocabulary([(f"w{i}", "en", 1) for i in range(6000)], [], [])
+def test_long_word_lists_give_the_same(stage, read):
+    """Twenty thousand words more, none of which occurs, change nothing."""
+    letters = "zwvkjxqyhu"
+    more = ["".join("q" + letters[int(d)] for d in str(i)) for i in range(20_000)]
+    long = Vocabulary(
+        VOCABULARY.lexicon + [(word, "en", -1) for word in more],
+        VOCABULARY.taxonomy + [("delay", "en", word, 1) for word in more],
+        VOCABULARY.negations,
+    )
+    for row in feedback.understood(stage, long).collect():
+        other = read[row.feedback_id]
+        for column in ("sentiment_raw", "complaint_category", "all_categories", "semantic_tags"):
+            assert row[column] == other[column], (row.feedback_id, column)
 
 
 def test_themes_rank_ties_by_name(spark):
