@@ -26,7 +26,7 @@ def components(edges: DataFrame) -> DataFrame:
         )
         large = materialise(
             both.where("b > a").join(least, "a").where("b <> least")
-            .select(F.col("b").alias("a"), F.col("least").alias("b")).distinct(),
+            .select(F.col("b").alias("a"), F.col("least").alias("b")),
             "large",
         )  # every row: a > b
         least = materialise(large.groupBy("a").agg(F.min("b").alias("least")), "least")

@@ -12,11 +12,12 @@ shingles and their order, which follows edit similarity. Pairs of sketches make
    shingles are unique, so the best alignment is the longest increasing run of matched
    positions; only matches as far off the diagonal as the threshold allows are looked at.
    Similarity is aligned shingles over all shingles of both, at least ``threshold``.
-4. Links give connected components. Keys that still hold several components are taken
-   again with other centres, for as long as that finds links.
+4. Keys that still hold several components are taken again with other centres, a few at a
+   time, for as long as one candidate in 500 is a link. All links together give the classes.
 
 Band keys miss a pair at similarity 0.8 with a chance of about 2 in 10,000, falling fast
-above.
+above. In keys of thousands of classes, a link between two of them that are both far from
+every centre tried may stay unfound; a class is then split, never joined wrongly.
 
 Words are letters, digits and all that is not ASCII, A-Z folded to a-z.
 
@@ -41,6 +42,7 @@ from starloom.llm.components import components
 from starloom.session import materialise
 
 SHINGLE = 5
+YIELD = 1 / 500  # links a candidate must bring on average for another round
 _FAR = np.uint64((1 << 64) - 1)
 _BLOCK = 1 << 16  # hash values worked on at a time, unless one function needs more
 
@@ -190,40 +192,75 @@ def _verify(threshold: float):
             left, right = shingles(batch.column("text_a")), shingles(batch.column("text_b"))
             scores = [similarity(x, y, threshold) for x, y in zip(left, right)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b"), pa.array(scores, pa.float64())],
-                ["a", "b", "score"],
+                [*(batch.column(c) for c in ("a", "b", "low", "high")), pa.array(scores, pa.float64())],
+                ["a", "b", "low", "high", "score"],
             )
 
     return run
 
 
-def _pairs(band_rows: DataFrame, round_: int) -> DataFrame:
-    """Every node of a key with the key's centre, where they are not in one component."""
-    # At first one order for all keys, so that a group has the same centre in most of them.
-    order = F.xxhash64("node") if round_ == 0 else F.xxhash64("node", "key", F.lit(round_))
-    rank = F.struct(order.alias("order"), "node", "component").alias("rank")
-    centres = materialise(
-        band_rows.select("key", "component", rank)
-        .groupBy("key")
-        .agg(
-            F.min("rank").alias("centre"),
-            F.min("component").alias("low"),
-            F.max("component").alias("high"),
-        )
-        .where("low < high")
-        .select("key", F.col("centre.node").alias("centre"), F.col("centre.component").alias("own")),
+def _with_centres(bands: DataFrame, round_: int, centres: int) -> DataFrame:
+    """Every node of a band key with the key's centres in other components: ``a, b`` and
+    their components ``low, high``.
+
+    A centre is the node that shares most keys with others: in a group of copies that is
+    the text they were made from, to which they are closer than to each other. In the first
+    round a key has one centre. Later its components are dealt to ``centres`` classes, anew
+    for each round, and each class gives its centre.
+    """
+    deal = F.lit(0)
+    if round_ > 0:
+        deal = F.pmod(F.xxhash64("component", F.lit(round_)), F.lit(centres))
+    order = F.struct(-F.col("shared"), "node")
+    chosen = bands.withColumn("deal", deal).groupBy("key", "deal").agg(
+        F.min_by(F.struct("node", "component"), order).alias("centre")
+    )
+    chosen = materialise(
+        chosen.select(
+            F.col("key"), F.col("centre.node").alias("centre"), F.col("centre.component").alias("own")
+        ),
         "centres",
     )
-    joined = band_rows.join(centres, "key").where("component <> own")
+    joined = bands.join(chosen, "key").where("component <> own")
     return joined.select(
-        F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")
+        F.least("node", "centre").alias("a"),
+        F.greatest("node", "centre").alias("b"),
+        F.least("component", "own").alias("low"),
+        F.greatest("component", "own").alias("high"),
     ).distinct()
 
 
-def near_duplicate_classes(docs: DataFrame, threshold: float = 0.8, **sketch) -> DataFrame:
-    """``doc_id, text_key, node, class_id, n_copies, n_links, kept_node`` for each document
-    with words: the smallest id of its class, rows with the same words, verified links of
-    its words, and the words that stay for the class."""
+def _band_rows(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``key, node, component, shared`` for the keys of more than one node, where ``shared``
+    counts the nodes met in all keys of a node; and ``node, shared`` alone."""
+    bands = nodes.select("node", F.explode("keys").alias("key"))
+    sizes = bands.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    bands = materialise(bands.join(materialise(sizes, "keys"), "key"), "bands")
+    shared = materialise(bands.groupBy("node").agg(F.sum("size").alias("shared")), "shared")
+    rows = bands.join(shared, "node").select(
+        "key", "node", F.col("node").alias("component"), "shared"
+    )
+    return materialise(rows, "bands"), shared
+
+
+def _merged(bands: DataFrame, links: DataFrame) -> DataFrame:
+    """The rows with components named anew after links between them: each takes the name of
+    the smallest it was linked to, one step far."""
+    names = links.groupBy(F.col("high").alias("component")).agg(F.min("low").alias("name"))
+    names = materialise(names, "names")
+    joined = bands.join(names, "component", "left")
+    return materialise(
+        joined.select("node", "key", "shared", F.coalesce("name", "component").alias("component")),
+        "bands",
+    )
+
+
+def near_duplicate_classes(
+    docs: DataFrame, threshold: float = 0.8, centres: int = 3, **sketch
+) -> DataFrame:
+    """``doc_id, text_key, node, class_id, n_copies, kept_node`` for each document with words:
+    the smallest id of its class, rows with the same words, and the words that stay for the
+    class."""
     rows = materialise(sketched(docs, **sketch), "sketches")
     nodes = materialise(
         rows.groupBy("node").agg(
@@ -234,57 +271,39 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = 0.8, **sketch) ->
         "nodes",
     )
     # Bands in which a class is alone are done with.
-    bands = nodes.select("node", F.explode("keys").alias("key"))
-    shared = materialise(
-        bands.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "keys"
-    )
-    bands = materialise(bands.join(shared, "key"), "bands")
+    bands, shared = _band_rows(nodes)
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text"
     )
     first = nodes.select("node", "first.doc_id", "first.text_key")
-    wanted = first.join(bands.select("node").distinct(), "node")
+    wanted = first.join(shared.select("node"), "node")
     texts = texts.alias("t").join(
         wanted.alias("w"),
         F.col("t.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("t.text_key") == F.col("w.text_key")),
     )
-    texts = materialise(
-        texts.select("w.node", "t.text").groupBy("node").agg(F.first("text").alias("text")), "texts"
-    )
-    labels = bands.select("node").distinct().withColumn("component", F.col("node"))
-    links = tested = None
+    texts = materialise(texts.select("w.node", "t.text"), "texts")
+    links: DataFrame | None = None
     round_ = 0
     while True:
-        pairs = _pairs(bands.join(labels, "node"), round_)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialise(pairs, "pairs")
-        with_texts = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-        with_texts = with_texts.join(
-            texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"
-        )
+        pairs = materialise(_with_centres(bands, round_, centres), "pairs")
+        left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+        right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
         found = materialise(
-            with_texts.select("a", "b", "text_a", "text_b")
-            .mapInArrow(_verify(threshold), "a binary, b binary, score double")
+            pairs.join(left, "a")
+            .join(right, "b")
+            .select("a", "b", "low", "high", "text_a", "text_b")
+            .mapInArrow(_verify(threshold), "a binary, b binary, low binary, high binary, score double")
             .where("score > 0"),
             "verified",
         )
-        tested = pairs if tested is None else tested.unionByName(pairs)
         links = found if links is None else links.unionByName(found)
-        new = found.limit(1).count()
-        if new:
-            grouped = materialise(components(links.select("a", "b")), "components")
-            labels = materialise(
-                bands.select("node").distinct().join(grouped, "node", "left")
-                .select("node", F.coalesce("component", "node").alias("component")),
-                "labels",
-            )
-        if not new and round_ > 0:
+        # A link joins two components, so rounds with links come to an end.
+        if round_ > 0 and found.count() <= pairs.count() * YIELD:
             break
+        bands = _merged(bands, found)
         round_ += 1
-    degree = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
-    degree = degree.groupBy("node").agg(F.count("*").alias("n_links"))
-    named = nodes.select("node", "n_copies", "first").join(labels, "node", "left").select(
+    grouped = materialise(components(links.select("a", "b")), "components")
+    named = nodes.select("node", "n_copies", "first").join(grouped, "node", "left").select(
         "node", "n_copies", "first", F.coalesce("component", "node").alias("component")
     )
     named = materialise(named, "named")
@@ -292,25 +311,22 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = 0.8, **sketch) ->
         "component", F.col("least.first.doc_id").alias("class_id"), F.col("least.node").alias("kept_node")
     )
     kept = materialise(kept, "kept")
-    of_nodes = named.join(kept, "component").join(degree, "node", "left").select(
-        "node", "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"), "class_id", "kept_node"
-    )
+    of_nodes = named.join(kept, "component").select("node", "n_copies", "class_id", "kept_node")
     return rows.select("doc_id", "text_key", "node").join(materialise(of_nodes, "of_nodes"), "node")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, **sketch) -> DataFrame:
-    """One row per document: ``doc_id, class_id, n_copies, n_links, kept``. Documents
+    """One row per document: ``doc_id, class_id, n_copies, kept``. Documents
     without words are classes of their own, without copies."""
     found = near_duplicate_classes(docs, threshold, **sketch)
     classes = found.select(
-        "doc_id", "class_id", "n_copies", "n_links",
+        "doc_id", "class_id", "n_copies",
         F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"),
     )
     blank = docs.where(_wordless()).select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("doc_id").cast("long").alias("class_id"),
         F.lit(1).cast("long").alias("n_copies"),
-        F.lit(0).cast("long").alias("n_links"),
         F.lit(True).alias("kept"),
     )
     return classes.unionByName(blank)
