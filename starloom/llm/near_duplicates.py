@@ -12,12 +12,15 @@ shingles and their order, which follows edit similarity. Pairs of sketches make
    shingles are unique, so the best alignment is the longest increasing run of matched
    positions; only matches as far off the diagonal as the threshold allows are looked at.
    Similarity is aligned shingles over all shingles of both, at least ``threshold``.
-4. Keys that still hold several components are taken again with other centres, a few at a
-   time, for as long as one candidate in 500 is a link. All links together give the classes.
+4. In keys that still hold several components, every two classes of different components
+   are compared, in blocks of bounded size, by parity bitmaps of their shingles: bits that
+   differ are no more than shingles that differ, so no pair at the threshold is ruled out.
+   What the bitmaps leave is verified: first the best of each class, for as long as that
+   joins many, then all. Each key is done when all its classes are, whatever others hold.
 
-Band keys miss a pair at similarity 0.8 with a chance of about 2 in 10,000, falling fast
-above. In keys of thousands of classes, a link between two of them that are both far from
-every centre tried may stay unfound; a class is then split, never joined wrongly.
+All links together give the classes. A link is missed only where two texts share no band
+key: at similarity 0.8 with a chance of about 2 in 10,000, falling fast above. The work of
+step 4 grows with the square of the classes in a key that the centre did not join.
 
 Words are letters, digits and all that is not ASCII, A-Z folded to a-z.
 
@@ -42,7 +45,8 @@ from starloom.llm.components import components
 from starloom.session import materialise
 
 SHINGLE = 5
-YIELD = 1 / 500  # links a candidate must bring on average for another round
+MEMBERS = 512  # classes in a block of a key
+BITS = (256, 1 << 16)  # least and most of a parity bitmap
 _FAR = np.uint64((1 << 64) - 1)
 _BLOCK = 1 << 16  # hash values worked on at a time, unless one function needs more
 
@@ -179,54 +183,165 @@ def similarity(left: np.ndarray, right: np.ndarray, threshold: float) -> float:
     return found if found >= threshold - 1e-12 else 0.0
 
 
-def _verify(threshold: float):
-    def shingles(column) -> list[np.ndarray]:
-        out = []
-        for piece in T.words(column, T.PLAIN_TABLE, T.PLAIN_FOLD):
-            hashes = piece.hashes()
-            out += [labelled_shingles(hashes[a:b]) for a, b in zip(piece.bounds, piece.bounds[1:])]
-        return out
+def _shingles(column) -> list[np.ndarray]:
+    out = []
+    for piece in T.words(column, T.PLAIN_TABLE, T.PLAIN_FOLD):
+        hashes = piece.hashes()
+        out += [labelled_shingles(hashes[a:b]) for a, b in zip(piece.bounds, piece.bounds[1:])]
+    return out
+
 
+def _verify(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = shingles(batch.column("text_a")), shingles(batch.column("text_b"))
+            left, right = _shingles(batch.column("text_a")), _shingles(batch.column("text_b"))
             scores = [similarity(x, y, threshold) for x, y in zip(left, right)]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("a", "b", "low", "high")), pa.array(scores, pa.float64())],
-                ["a", "b", "low", "high", "score"],
+                [*(batch.column(c) for c in ("a", "b")), pa.array(scores, pa.float64())],
+                ["a", "b", "score"],
             )
 
     return run
 
 
-def _with_centres(bands: DataFrame, round_: int, centres: int) -> DataFrame:
-    """Every node of a band key with the key's centres in other components: ``a, b`` and
-    their components ``low, high``.
+def _with_centres(bands: DataFrame) -> DataFrame:
+    """Every node of a band key with the key's centre: ``a, b``.
 
-    A centre is the node that shares most keys with others: in a group of copies that is
-    the text they were made from, to which they are closer than to each other. In the first
-    round a key has one centre. Later its components are dealt to ``centres`` classes, anew
-    for each round, and each class gives its centre.
+    The centre is the node that shares most keys with others: in a group of copies that is
+    the text they were made from, to which they are closer than to each other.
     """
-    deal = F.lit(0)
-    if round_ > 0:
-        deal = F.pmod(F.xxhash64("component", F.lit(round_)), F.lit(centres))
     order = F.struct(-F.col("shared"), "node")
-    chosen = bands.withColumn("deal", deal).groupBy("key", "deal").agg(
-        F.min_by(F.struct("node", "component"), order).alias("centre")
+    chosen = materialise(bands.groupBy("key").agg(F.min_by("node", order).alias("centre")), "centres")
+    joined = bands.join(chosen, "key").where("node <> centre")
+    return joined.select(
+        F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")
+    ).distinct()
+
+
+def parity_bitmap(shingles: np.ndarray) -> bytes:
+    """A bit for each rest of the hashes by a power of two: whether it occurs an odd number
+    of times. Bitmaps of two sets differ in no more bits than the sets do in elements."""
+    least, most = BITS
+    width = min(most, max(least, 1 << (4 * len(shingles) - 1).bit_length()))
+    places = (shingles & np.uint64(width - 1)).astype(np.int64)
+    odd = (np.bincount(places, minlength=width) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").tobytes()
+
+
+def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sizes, bits = [], []
+        for shingles in _shingles(batch.column("text")):
+            sizes.append(len(shingles))
+            bits.append(parity_bitmap(shingles))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("node"), pa.array(sizes, pa.int64()), pa.array(bits, pa.binary())],
+            ["node", "size", "bits"],
+        )
+
+
+def _matrix(bits: list[bytes], width: int) -> np.ndarray:
+    """Bitmaps of one size as rows of words, folded to ``width`` bytes."""
+    rows = np.frombuffer(b"".join(bits), dtype=np.uint8).reshape(len(bits), -1)
+    while rows.shape[1] > width:
+        half = rows.shape[1] // 2
+        rows = rows[:, :half] ^ rows[:, half:]
+    return np.ascontiguousarray(rows).view(np.uint64)
+
+
+def likely_pairs(
+    component: np.ndarray, block: np.ndarray, size: np.ndarray, bits: list[bytes],
+    threshold: float, best: bool,
+) -> list[tuple[int, int]]:
+    """Pairs of rows in different components that the bitmaps don't rule out; the rows are
+    one block (every two are compared) or two (only across). ``best``: for each row only
+    the pair whose bitmaps differ least."""
+    first = np.flatnonzero(block == block[0])
+    second = np.flatnonzero(block != block[0])
+    alone = not len(second)
+    second = first if alone else second
+    widths = np.array([len(x) for x in bits])
+    out = []
+    for one in np.unique(widths[first]).tolist():
+        lefts = first[widths[first] == one]
+        for other in np.unique(widths[second]).tolist():
+            if alone and other < one:
+                continue
+            rights = second[widths[second] == other]
+            width = min(one, other)
+            x = _matrix([bits[i] for i in lefts], width)
+            y = _matrix([bits[i] for i in rights], width)
+            for n, i in enumerate(lefts.tolist()):
+                short, long = np.minimum(size[i], size[rights]), np.maximum(size[i], size[rights])
+                fit = (component[rights] != component[i]) & (short >= threshold * long - 1e-9)
+                if alone and one == other:
+                    fit &= rights > i
+                some = np.flatnonzero(fit)
+                if not len(some):
+                    continue
+                differ = np.bitwise_count(y[some] ^ x[n]).sum(axis=1, dtype=np.int64)
+                total = size[i] + size[rights[some]]
+                # As in aligned(): shingles that may be unmatched at the threshold.
+                near = differ <= total * (1 - threshold) / (1 + threshold) + 1e-9
+                some, share = some[near], differ[near] / total[near]
+                out += [(d, i, j) for d, j in zip(share.tolist(), rights[some].tolist())]
+    if best:
+        seen: set[int] = set()
+        kept = []
+        for d, i, j in sorted(out):
+            if i not in seen or j not in seen:
+                kept.append((d, i, j))
+                seen |= {i, j}
+        out = kept
+    return [(i, j) for _, i, j in out]
+
+
+def _within_blocks(threshold: float, best: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                members = batch.column("members").slice(row, 1).flatten()
+                node, component, block, size, bits = members.flatten()
+                code = component.dictionary_encode().indices.to_numpy()
+                pairs = likely_pairs(
+                    code, block.to_numpy(), size.to_numpy(), bits.to_pylist(), threshold, best
+                )
+                if pairs:
+                    i, j = (pa.array(x) for x in zip(*pairs))
+                    yield pa.RecordBatch.from_arrays(
+                        [node.take(i), node.take(j)], ["x", "y"]
+                    )
+
+    return run
+
+
+def _across_components(
+    bands: DataFrame, bitmaps: DataFrame, threshold: float, best: bool
+) -> DataFrame:
+    """Pairs ``a, b`` of the keys' nodes in different components that may reach the
+    threshold: each key is dealt to blocks, and each two blocks are compared."""
+    keys = bands.groupBy("key").agg(
+        F.count("*").alias("members"), F.min("component").alias("least"), F.max("component").alias("most")
     )
-    chosen = materialise(
-        chosen.select(
-            F.col("key"), F.col("centre.node").alias("centre"), F.col("centre.component").alias("own")
-        ),
-        "centres",
+    # Of two nodes, one was the centre.
+    keys = keys.where("members > 2 and least < most").select(
+        "key", F.ceil(F.col("members") / MEMBERS).cast("int").alias("blocks")
     )
-    joined = bands.join(chosen, "key").where("component <> own")
-    return joined.select(
-        F.least("node", "centre").alias("a"),
-        F.greatest("node", "centre").alias("b"),
-        F.least("component", "own").alias("low"),
-        F.greatest("component", "own").alias("high"),
+    rows = bands.join(materialise(keys, "open_keys"), "key").select(
+        "key", "node", "component", "blocks",
+        F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"),
+    )
+    rows = rows.join(bitmaps, "node").withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    )
+    groups = rows.groupBy(
+        "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
+    ).agg(F.collect_list(F.struct("node", "component", "block", "size", "bits")).alias("members"))
+    found = groups.select("members").mapInArrow(
+        _within_blocks(threshold, best), "x binary, y binary"
+    )
+    return found.select(
+        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")
     ).distinct()
 
 
@@ -243,20 +358,31 @@ def _band_rows(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     return materialise(rows, "bands"), shared
 
 
-def _merged(bands: DataFrame, links: DataFrame) -> DataFrame:
-    """The rows with components named anew after links between them: each takes the name of
-    the smallest it was linked to, one step far."""
-    names = links.groupBy(F.col("high").alias("component")).agg(F.min("low").alias("name"))
-    names = materialise(names, "names")
-    joined = bands.join(names, "component", "left")
+def _linked(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Those of the pairs ``a, b`` that reach the threshold."""
+    left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+    right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
+    found = (
+        pairs.join(left, "a")
+        .join(right, "b")
+        .select("a", "b", "text_a", "text_b")
+        .mapInArrow(_verify(threshold), "a binary, b binary, score double")
+        .where("score > 0")
+        .select("a", "b")
+    )
+    return materialise(found, "verified")
+
+
+def _named(bands: DataFrame, names: DataFrame) -> DataFrame:
+    """The rows with the components of their nodes."""
+    joined = bands.join(names.select("node", F.col("component").alias("name")), "node", "left")
     return materialise(
-        joined.select("node", "key", "shared", F.coalesce("name", "component").alias("component")),
-        "bands",
+        joined.select("node", "key", F.coalesce("name", "node").alias("component")), "bands"
     )
 
 
 def near_duplicate_classes(
-    docs: DataFrame, threshold: float = 0.8, centres: int = 3, **sketch
+    docs: DataFrame, threshold: float = 0.8, **sketch
 ) -> DataFrame:
     """``doc_id, text_key, node, class_id, n_copies, kept_node`` for each document with words:
     the smallest id of its class, rows with the same words, and the words that stay for the
@@ -282,27 +408,37 @@ def near_duplicate_classes(
         F.col("t.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("t.text_key") == F.col("w.text_key")),
     )
     texts = materialise(texts.select("w.node", "t.text"), "texts")
-    links: DataFrame | None = None
-    round_ = 0
+    tried = materialise(_with_centres(bands), "pairs")
+    links = _linked(tried, texts, threshold)
+    grouped = materialise(components(links), "components")
+    bands = _named(bands, grouped)
+    keys = bands.groupBy("key").agg(
+        F.count("*").alias("members"), F.min("component").alias("least"), F.max("component").alias("most")
+    )
+    # The other keys are done: components only grow.
+    bands = materialise(
+        bands.join(keys.where("members > 2 and least < most").select("key"), "key"), "open"
+    )
+    bitmaps = texts.join(bands.select("node").distinct(), "node").mapInArrow(
+        _bitmaps, "node binary, size long, bits binary"
+    )
+    bitmaps = materialise(bitmaps, "bitmaps")
+    best = True
     while True:
-        pairs = materialise(_with_centres(bands, round_, centres), "pairs")
-        left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-        right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-        found = materialise(
-            pairs.join(left, "a")
-            .join(right, "b")
-            .select("a", "b", "low", "high", "text_a", "text_b")
-            .mapInArrow(_verify(threshold), "a binary, b binary, low binary, high binary, score double")
-            .where("score > 0"),
-            "verified",
-        )
-        links = found if links is None else links.unionByName(found)
-        # A link joins two components, so rounds with links come to an end.
-        if round_ > 0 and found.count() <= pairs.count() * YIELD:
+        pairs = _across_components(bands, bitmaps, threshold, best).join(tried, ["a", "b"], "left_anti")
+        pairs = materialise(pairs, "pairs")
+        found = _linked(pairs, texts, threshold)
+        n_pairs, n_found = pairs.count(), found.count()
+        if n_found:
+            links = links.unionByName(found)
+            grouped = materialise(components(links), "components")
+        if not best:
             break
-        bands = _merged(bands, found)
-        round_ += 1
-    grouped = materialise(components(links.select("a", "b")), "components")
+        tried = tried.unionByName(pairs)
+        if n_found:
+            bands = _named(bands, grouped)
+        # Where the best of each bring few links, what is left is compared in full.
+        best = n_found > n_pairs / 10
     named = nodes.select("node", "n_copies", "first").join(grouped, "node", "left").select(
         "node", "n_copies", "first", F.coalesce("component", "node").alias("component")
     )

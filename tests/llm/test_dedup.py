@@ -5,10 +5,17 @@ import collections
 import hashlib
 import random
 
+import numpy as np
+
 from conftest_llm import ODD, blank_words, plain_words
 from starloom.llm.components import components
 from starloom.llm.lines import dedup_lines, drop_emptied
-from starloom.llm.near_duplicates import drop_near_duplicates, near_duplicates
+from starloom.llm.near_duplicates import (
+    drop_near_duplicates,
+    likely_pairs,
+    near_duplicates,
+    parity_bitmap,
+)
 from starloom.llm.substrings import remove_repeated_passages
 
 
@@ -164,6 +171,47 @@ def test_near_duplicates(documents):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in got if r.kept)
 
 
+def template_group(seed, pairs=500, edits=8, apart=6):
+    """Texts made from one template, too far from it and from each other, but for pairs."""
+    rng = random.Random(seed)
+    template = [f"t{i}" for i in range(300)]
+
+    def edited(words, n, mark):
+        places = rng.sample(range(4, len(words) - 4, 6), n)
+        return [f"{mark}w{i}" if i in places else w for i, w in enumerate(words)]
+
+    texts = []
+    for k in range(pairs):
+        one = edited(template, edits, f"a{k}")
+        texts += [one, edited(one, apart, f"b{k}")]
+    return [(i, " ".join(words)) for i, words in enumerate(texts)]
+
+
+def test_near_duplicates_in_a_crowded_group(documents):
+    rows = template_group(3)
+    got = {r.doc_id: r.class_id for r in near_duplicates(documents(rows)).collect()}
+    assert got == {i: i - i % 2 for i, _ in rows}
+
+
+def test_bitmaps_rule_out_no_pair_at_the_threshold():
+    rng = np.random.default_rng(5)
+    some = lambda n: rng.integers(0, 1 << 63, n, dtype=np.uint64)
+    for n in (1, 9, 300, 5_000, 30_000):
+        shared = some(n)
+        sets = [np.concatenate([shared, some(k)]) for k in (0, n // 9, n // 8, n // 4, 3 * n)]
+        size = np.array([len(x) for x in sets])
+        bits = [parity_bitmap(x) for x in sets]
+        true = {
+            (i, j) for j in range(5) for i in range(j)
+            if n / (size[i] + size[j] - n) >= 0.8
+        }
+        for block in ([0] * 5, [0, 1, 0, 1, 0]):
+            block = np.array(block)
+            found = {tuple(sorted(p)) for p in likely_pairs(np.arange(5), block, size, bits, 0.8, False)}
+            asked = {(i, j) for i, j in true if not block.any() or block[i] != block[j]}
+            assert asked <= found and all(4 not in p for p in found)
+
+
 def test_near_duplicates_of_odd_documents(odd, documents):
     got = near_duplicates(odd).collect()
     assert sorted((str(r.doc_id), str(r.class_id)) for r in got) == classes_expected(ODD)
