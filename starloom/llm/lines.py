@@ -1,12 +1,11 @@
 """Removal of runs of lines that stand somewhere earlier.
 
 A run is ``min_lines`` or more consecutive lines that also occur, in the same order, at an
-earlier place: in a document of smaller id, or further up in the same document. Winnowing
-finds them: of every ``min_lines`` consecutive line hashes the smallest is selected as a
-fingerprint, so two equal runs always share one. Fingerprints seen at one place only are
-dropped; at the others, the windows they were selected from are joined by content with the
-first place that has them. Matches that continue each other on the same diagonal, forwards
-or backwards, are one run, as long as it goes on; its lines go from the later place.
+earlier place: in a document of smaller id, or further up in the same document. An exact
+window join finds them, not winnowing: every window of ``min_lines`` consecutive lines is a
+row, and windows are joined by content with the first place that has them. (The smallest
+line hash of the window is a second grouping column; it selects nothing.) Windows that
+follow each other on the same diagonal are one run; its lines go from the later place.
 
 Every place is compared with the first place alone, so a line group that many documents
 share costs a row for each of them, never pairs.
