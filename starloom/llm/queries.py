@@ -12,8 +12,9 @@ from starloom.llm.decontaminate import contamination
 from starloom.llm.lines import dedup_lines
 from starloom.llm.mixing import mix
 from starloom.llm.near_duplicates import near_duplicates
+from starloom.llm.negatives import hard_negatives
 from starloom.llm.neighbours import nearest
-from starloom.llm.oracles import LINES, MIXING
+from starloom.llm.oracles import LINES, MIXING, NEGATIVES
 from starloom.llm.personal import personal_report
 from starloom.llm.secrets import secret_report
 from starloom.llm.substrings import remove_repeated_passages
@@ -73,6 +74,11 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(table(spark, folder, "documents"), path)
 
 
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, folder, "embeddings").withColumn("label", label))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_substring_dedup": op2_substring_dedup,
@@ -84,7 +90,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dedup": op8_near_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_token_counts": op10_token_counts,
+    "op13_hard_negatives": op13_hard_negatives,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLES: dict[str, str] = {"op3_mixing": MIXING, "op4_line_dedup": LINES}
+ORACLES: dict[str, str] = {"op3_mixing": MIXING, "op4_line_dedup": LINES, "op13_hard_negatives": NEGATIVES}
