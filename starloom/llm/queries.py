@@ -14,8 +14,9 @@ from starloom.llm.mixing import mix
 from starloom.llm.near_duplicates import near_duplicates
 from starloom.llm.negatives import hard_negatives
 from starloom.llm.neighbours import nearest
-from starloom.llm.oracles import LINES, MIXING, NEGATIVES
+from starloom.llm.oracles import LINES, MIXING, NEGATIVES, TRIE
 from starloom.llm.personal import personal_report
+from starloom.llm.prefix_trie import prefix_trie
 from starloom.llm.secrets import secret_report
 from starloom.llm.substrings import remove_repeated_passages
 from starloom.llm.token_counts import count_tokens
@@ -74,6 +75,10 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(table(spark, folder, "documents"), path)
 
 
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie(table(spark, folder, "conversations"))
+
+
 def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives(table(spark, folder, "embeddings").withColumn("label", label))
@@ -90,8 +95,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dedup": op8_near_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_token_counts": op10_token_counts,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_hard_negatives": op13_hard_negatives,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLES: dict[str, str] = {"op3_mixing": MIXING, "op4_line_dedup": LINES, "op13_hard_negatives": NEGATIVES}
+ORACLES: dict[str, str] = {
+    "op3_mixing": MIXING,
+    "op4_line_dedup": LINES,
+    "op12_prefix_trie": TRIE,
+    "op13_hard_negatives": NEGATIVES,
+}
