@@ -89,8 +89,8 @@ def test_odd_rows(spark):
 
 def test_a_conversation_over_many_ranges(spark):
     """One conversation holds most of all turns; each of eight ranges has a part of it."""
-    rows = [(10, t, "user", f"turn {t}") for t in range(2_000)]
-    rows += [(12, t, "user", f"turn {t}") for t in range(700)] + some_rows(3, 20)
+    rows = [(10, t, "user", f"turn {t}") for t in range(300)]
+    rows += [(12, t, "user", f"turn {t}") for t in range(120)] + some_rows(3, 20)
     assert run(spark, rows) == expected(rows)
 
 
