@@ -144,3 +144,28 @@ select n.conv_id, n.depth, n.parent_conv_id, n.n_convs, n.n_children, b.n_leaves
        sha256(coalesce(n.ended, '')) as ends_sha256
 from counted n join below b on b.conv_id = n.conv_id and b.depth = n.depth
 """
+
+JACCARD = r"""
+with recursive texts as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as w
+  from documents),
+sets as (
+  select doc_id, list_distinct(
+    case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+         else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as s
+  from texts),
+shingles as (select doc_id, unnest(s) as shingle, len(s) as n from sets),
+shared as (
+  select a.doc_id as a, b.doc_id as b, any_value(a.n) as n_a, any_value(b.n) as n_b, count(*) as n
+  from shingles a join shingles b on a.shingle = b.shingle and a.doc_id <> b.doc_id
+  group by a.doc_id, b.doc_id),
+links as (select a, b from shared where 100 * n >= 80 * (n_a + n_b - n)),
+reach(doc_id, other) as (
+  select doc_id, doc_id from sets
+  union
+  select l.b, r.other from reach r join links l on l.a = r.doc_id)
+select s.doc_id, len(s.s)::bigint as n_shingles, min(r.other) as component_id
+from sets s join reach r on r.doc_id = s.doc_id group by s.doc_id, s.s
+"""

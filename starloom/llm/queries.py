@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from starloom.llm.decontaminate import contamination
+from starloom.llm.jaccard_join import jaccard_components
 from starloom.llm.lines import dedup_lines
 from starloom.llm.mixing import mix
 from starloom.llm.near_duplicates import near_duplicates
 from starloom.llm.negatives import hard_negatives
 from starloom.llm.neighbours import nearest
-from starloom.llm.oracles import LINES, MIXING, NEGATIVES, TRIE
+from starloom.llm.oracles import JACCARD, LINES, MIXING, NEGATIVES, TRIE
 from starloom.llm.personal import personal_report
 from starloom.llm.prefix_trie import prefix_trie
 from starloom.llm.secrets import secret_report
@@ -75,6 +76,10 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(table(spark, folder, "documents"), path)
 
 
+def op11_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_components(table(spark, folder, "documents"))
+
+
 def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie(table(spark, folder, "conversations"))
 
@@ -95,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dedup": op8_near_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_token_counts": op10_token_counts,
+    "op11_jaccard_join": op11_jaccard_join,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_hard_negatives": op13_hard_negatives,
     "pipeline": corpus_pipeline.run,
@@ -103,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op3_mixing": MIXING,
     "op4_line_dedup": LINES,
+    "op11_jaccard_join": JACCARD,
     "op12_prefix_trie": TRIE,
     "op13_hard_negatives": NEGATIVES,
 }
