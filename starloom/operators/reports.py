@@ -9,6 +9,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.sources.writers import MONTH
+
 # The column that a date range applies to, per table.
 TIME_COLUMNS = {
     "fct_flights": "flight_date",
@@ -164,10 +166,27 @@ def filtered(
     since: dt.date | None = None,
     until: dt.date | None = None,
     routes: list[str] | None = None,
+    days: DataFrame | None = None,
 ) -> DataFrame:
-    """Page filters: ``since <= time < until`` on the table's time column and a choice
-    of routes. A table without the column is left as it is."""
+    """Page filters: ``since <= time < until`` on the table's time column, a choice of
+    routes, and a choice of calendar rows (``days``, from the date dimension). A table
+    without the column is left as it is.
+
+    Of a table written by month, only the folders of the range are read; of those of
+    ``days``, which are known only as the query runs, too (dynamic pruning).
+    """
     time = TIME_COLUMNS.get(table)
+    by_month = MONTH in df.columns
+    if time and by_month and since is not None:
+        df = df.where(F.col(MONTH) >= F.lit(since.replace(day=1)))
+    if time and by_month and until is not None:
+        df = df.where(F.col(MONTH) < F.lit(until))
+    if time and days is not None:
+        chosen = days.select(F.col("date_day").alias("_day"), F.col("month_start_date").alias("_month"))
+        met = F.col(time) == F.col("_day")
+        if by_month:
+            met = met & (F.col(MONTH) == F.col("_month"))
+        df = df.join(F.broadcast(chosen), met, "left_semi")  # the calendar: 1,461 rows
     if time:
         if since is not None:
             df = df.where(F.col(time) >= F.lit(since))
@@ -192,6 +211,7 @@ def report(
     until: dt.date | None = None,
     routes: list[str] | None = None,
     limit: int | None = _AS_DECLARED,
+    days: DataFrame | None = None,
 ) -> DataFrame:
     """Run one report, with the page filters applied to the rows first.
 
@@ -199,7 +219,7 @@ def report(
     their newest months.
     """
     spec = REPORTS[name]
-    df = filtered(tables[spec.table], spec.table, since, until, routes)
+    df = filtered(tables[spec.table], spec.table, since, until, routes, days)
     if spec.where:
         df = df.where(spec.where)
     if spec.month_grain:
@@ -250,3 +270,31 @@ def points_per_member(events: DataFrame, today: dt.date) -> DataFrame:
         F.sum("points_earned").cast("double"), F.countDistinct("customer_id").cast("double")
     )
     return events.where(year).agg(value.alias("points_per_member"))
+
+
+# What a page shows of a fact: the amount that is summed, and what rows are grouped by.
+PAGES = {
+    "fct_flights": ("total_revenue_usd", "route_id"),
+    "fct_bookings": ("total_booking_revenue_usd", "route_id"),
+    "fct_ancillary_offers": ("accepted_revenue_usd", "offer_type"),
+    "fct_loyalty_events": ("points_earned", "route_id"),
+    "fct_customer_feedback": ("polarised_word_count", "route_id"),
+}
+
+
+def page(
+    table: str,
+    tables: Mapping[str, DataFrame],
+    since: dt.date | None = None,
+    until: dt.date | None = None,
+    routes: list[str] | None = None,
+    days: DataFrame | None = None,
+) -> DataFrame:
+    """Rows and amount of a fact by month, under the page filters. A fact without a route
+    is filtered by time alone."""
+    amount, group = PAGES[table]
+    df = filtered(tables[table], table, since, until, routes, days)
+    month = F.trunc(TIME_COLUMNS[table], "month").alias("month")
+    return df.groupBy(month, group).agg(
+        F.count("*").alias("n_rows"), F.sum(amount).cast("double").alias("amount")
+    )

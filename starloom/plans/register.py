@@ -27,12 +27,13 @@ from starloom.plans.oracle_views import (
     VIEWS,
     checking_sql,
 )
-from starloom.plans.warehouse import Warehouse
+from starloom.plans.warehouse import FACT_DAYS, StoredTables, Warehouse, stored_tables
 from starloom.session import prepare, shared_folder
 from starloom.sources.bindings import BOUND_LEXICON, BOUND_NEGATIONS, BOUND_TAXONOMY, Binder
 from starloom.sources.lexicons import seed_frame
 from starloom.sources.readers import stage
 from starloom.sources.schemas import SOURCES
+from starloom.sources.writers import replace_months, write_by_month
 
 Job = Callable[[Warehouse], DataFrame]
 
@@ -113,6 +114,21 @@ def _table(name: str, table: str | None = None, **kinds: str) -> None:
     _add(name, lambda w: w[table], table, **kinds)
 
 
+_MARTS: dict[tuple[str, str], str] = {}
+
+
+def marts(w: Warehouse) -> StoredTables:
+    """The built tables over the same inputs, for dashboards and metrics: built at first use
+    in a session, then read from their files."""
+    app = w.spark.sparkContext.applicationId
+    key = app, w.inputs.folder
+    if key not in _MARTS:
+        folder = f"{shared_folder(w.spark)}/starloom/{app}/marts-{uuid.uuid4().hex}"
+        w.build(folder)
+        _MARTS[key] = folder
+    return stored_tables(w.spark, _MARTS[key])
+
+
 # ---- inputs -------------------------------------------------------------------------
 
 _STAGED = {
@@ -932,3 +948,80 @@ _add(
     lambda w: enrich.repeat_rows(w["stg_bookings"].select("booking_id", "bags_count"), "bags_count"),
     """select booking_id, bags_count, unnest(range(1, bags_count + 1))::int as copy_no from stg_bookings""",
 )
+
+
+# ---- facts by month, and pages on them ----------------------------------------------
+
+_BAD_MONTH = dt.date(2024, 11, 1)
+
+
+def _month_replaced(w: Warehouse) -> DataFrame:
+    """Facts whose load went wrong in one month, after that month was written anew."""
+    parts = []
+    for fact, day in FACT_DAYS.items():
+        path = f"{shared_folder(w.spark)}/starloom/{w.spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+        twice = w[fact].withColumn("_copy", F.explode(
+            F.when(F.trunc(day, "month") == F.lit(_BAD_MONTH), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+        )).drop("_copy")
+        stored = write_by_month(twice, path, day)
+        replace_months(w[fact], path, day, [_BAD_MONTH])
+        stored = w.spark.read.schema(stored.schema).parquet(path)
+        parts.append(
+            stored.groupBy(F.col("in_month").alias("month")).agg(F.count("*").alias("n_rows"))
+            .select(F.lit(fact).alias("fact"), "month", "n_rows")
+        )
+    return stack(parts)
+
+
+_add(
+    "facts_month_replaced", _month_replaced,
+    " union all ".join(
+        f"select '{fact}' as fact, date_trunc('month', {day})::date as month, count(*) as n_rows "
+        f"from {fact} group by 2"
+        for fact, day in FACT_DAYS.items()
+    ),
+    days="month",
+)
+
+
+def _page(name: str, fact: str, sql_amount: str, group: str, condition: str, **filters) -> None:
+    _add(
+        f"page_{name}",
+        lambda w: reports.page(fact, marts(w), **{k: v(w) if callable(v) else v for k, v in filters.items()}),
+        f"""select date_trunc('month', {FACT_DAYS[fact]})::date as month, {group}, count(*) as n_rows,
+                   sum({sql_amount})::double as amount
+            from {fact} where {condition} group by 1, 2""",
+        days="month",
+    )
+
+
+_RANGE = {"since": dt.date(2024, 3, 10), "until": dt.date(2024, 9, 20), "routes": ["R001", "R002", "R009", "R016"]}
+_IN_RANGE = "{0} >= date '2024-03-10' and {0} < date '2024-09-20'"
+_ON_ROUTES = " and route_id in ('R001', 'R002', 'R009', 'R016')"
+_page(
+    "flights", "fct_flights", "total_revenue_usd", "route_id",
+    _IN_RANGE.format("flight_date") + _ON_ROUTES, **_RANGE,
+)
+_page(
+    "bookings", "fct_bookings", "total_booking_revenue_usd", "route_id",
+    _IN_RANGE.format("booking_date") + _ON_ROUTES, **_RANGE,
+)
+_page(
+    "offers", "fct_ancillary_offers", "accepted_revenue_usd", "offer_type",
+    _IN_RANGE.format("offer_date"), **_RANGE,
+)
+_page(
+    "loyalty", "fct_loyalty_events", "points_earned", "route_id",
+    _IN_RANGE.format("event_date") + _ON_ROUTES, **_RANGE,
+)
+_page(
+    "feedback", "fct_customer_feedback", "polarised_word_count", "route_id",
+    _IN_RANGE.format("feedback_date") + _ON_ROUTES, **_RANGE,
+)
+_page(
+    "bookings_in_peak_season", "fct_bookings", "total_booking_revenue_usd", "route_id",
+    """booking_date in (select date_day from dim_date where season_aviation = 'peak' and year_num = 2024)
+       and route_id in ('R001', 'R002', 'R009', 'R016')""",
+    routes=_RANGE["routes"],
+    days=lambda w: marts(w)["dim_date"].where("season_aviation = 'peak' and year_num = 2024"),
+)

@@ -18,7 +18,7 @@ from starloom.operators import facts, feedback, flights, quality, rules, scd2
 from starloom.session import materialise, prepare
 from starloom.sources.readers import stage
 from starloom.sources.schemas import SOURCES
-from starloom.sources.writers import write_table
+from starloom.sources.writers import in_months, replace_months, write_by_month, write_table
 
 
 class Warehouse(Mapping):
@@ -86,8 +86,7 @@ class Warehouse(Mapping):
         with ThreadPoolExecutor(at_once) as pool:
             for step in _STEPS:
                 writes = {
-                    name: pool.submit(write_table, self[name], f"{folder}/{version}/{name}", _DAYS.get(name))
-                    for name in step
+                    name: pool.submit(_write, self[name], f"{folder}/{version}/{name}", name) for name in step
                 }
                 for name, write in writes.items():
                     built[name] = self._written[name] = write.result()
@@ -102,6 +101,50 @@ class Warehouse(Mapping):
         return built
 
 
+    def replace_months(self, folder: str, months: list[dt.date], names: list[str] | None = None) -> None:
+        """Write the rows of some months of the facts anew, in the current version; only the
+        folders of these months change. Facts are built from the inputs of these months."""
+        version = current_version(self.spark, folder)
+        if version is None:
+            raise ValueError(f"nothing is built below {folder}")
+        for name in names or list(FACT_DAYS):
+            day = FACT_DAYS[name]
+            rows = self[name].where(in_months(day, months))
+            replace_months(rows, f"{version}/{name}", day, months)
+
+
+def _write(df: DataFrame, path: str, name: str) -> DataFrame:
+    day = FACT_DAYS.get(name)
+    return write_by_month(df, path, day) if day else write_table(df, path)
+
+
+class StoredTables(Mapping):
+    """The tables of a built version by name, read from their files."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        self._frames: dict[str, DataFrame] = {}
+
+    def __iter__(self) -> Iterator[str]:
+        return iter([name for step in _STEPS for name in step])
+
+    def __len__(self) -> int:
+        return sum(len(step) for step in _STEPS)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._frames:
+            self._frames[name] = self.spark.read.parquet(f"{self.path}/{name}")
+        return self._frames[name]
+
+
+def stored_tables(spark: SparkSession, folder: str) -> StoredTables:
+    """The current version below ``folder``."""
+    path = current_version(spark, folder)
+    if path is None:
+        raise ValueError(f"nothing is built below {folder}")
+    return StoredTables(spark, path)
+
+
 _POINTER = "_current"
 
 
@@ -199,6 +242,15 @@ _BUILDERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "ont_irops_heavy_route": lambda w: rules.irops_heavy(w["fct_flights"], w["dim_route"]),
 }
 
+# The facts, written by month of these columns.
+FACT_DAYS = {
+    "fct_flights": "flight_date",
+    "fct_bookings": "booking_date",
+    "fct_ancillary_offers": "offer_date",
+    "fct_loyalty_events": "event_date",
+    "fct_customer_feedback": "feedback_date",
+}
+
 # What is written, step by step; the other names are steps inside these tables.
 _STEPS = [
     [
@@ -218,10 +270,3 @@ _STEPS = [
         "ont_premium_upsell_candidate", "ont_loyal_detractor", "ont_irops_heavy_route",
     ],
 ]
-_DAYS = {
-    "fct_flights": "flight_date",
-    "fct_bookings": "booking_date",
-    "fct_ancillary_offers": "offer_date",
-    "fct_loyalty_events": "event_date",
-    "fct_customer_feedback": "feedback_date",
-}

@@ -1,8 +1,16 @@
-"""Writing tables."""
+"""Writing tables: in one piece, by month, and in buckets of a key."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# Partition column of tables written by month: the first day of the month of a row.
+MONTH = "in_month"
 
 
 def write_table(df: DataFrame, path: str, day: str | None = None) -> DataFrame:
@@ -16,3 +24,67 @@ def write_table(df: DataFrame, path: str, day: str | None = None) -> DataFrame:
         df = df.sortWithinPartitions(day)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _monthly(df: DataFrame, day: str) -> DataFrame:
+    """Rows dealt to writers by month, sorted by day in each.
+
+    ``rebalance`` deals by month and then evens out by size: small months share a task, and
+    a month above the advisory partition size, a hot one too, is split among as many tasks
+    as it holds such sizes. So files are few, and none grows with the data.
+    """
+    placed = df.withColumn(MONTH, F.trunc(day, "month"))
+    return placed.hint("rebalance", F.col(MONTH)).sortWithinPartitions(MONTH, day)
+
+
+def write_by_month(df: DataFrame, path: str, day: str) -> DataFrame:
+    """Replace the table at ``path``, a folder for each month of ``day``, and read it back.
+
+    The table read back also has the partition column ``in_month``; rows without a day are
+    in a folder of their own, and have a null there.
+    """
+    _monthly(df, day).write.mode("overwrite").partitionBy(MONTH).parquet(path)
+    return read_by_month(df.sparkSession, path, df.schema)
+
+
+def read_by_month(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    columns = [f for f in schema.fields if f.name != MONTH]
+    return spark.read.schema(T.StructType([*columns, T.StructField(MONTH, T.DateType())])).parquet(path)
+
+
+def in_months(day: str, months: list[dt.date]) -> Column:
+    """Rows whose day lies in one of the months, as ranges, so that a scan can skip files."""
+    ranges = []
+    for month in sorted({m.replace(day=1) for m in months}):
+        after = (month + dt.timedelta(days=31)).replace(day=1)
+        ranges.append((F.col(day) >= F.lit(month)) & (F.col(day) < F.lit(after)))
+    return reduce(lambda a, b: a | b, ranges, F.lit(False))
+
+
+def replace_months(df: DataFrame, path: str, day: str, months: list[dt.date]) -> None:
+    """Write the rows of some months anew; the folders of all others are not touched.
+
+    A month that has no rows any more loses its folder. ``df`` must not read these months
+    from ``path``.
+    """
+    spark = df.sparkSession
+    folders = {f"{path}/{MONTH}={m.replace(day=1)}" for m in months}
+    before = {folder: _files(spark, folder) for folder in folders}
+    rows = _monthly(df.where(in_months(day, months)), day)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
+    for folder, old in before.items():
+        if old & _files(spark, folder):  # nothing was written there
+            place, system = _place(spark, folder)
+            system.delete(place, True)
+
+
+def _place(spark: SparkSession, folder: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _files(spark: SparkSession, folder: str) -> set[str]:
+    place, system = _place(spark, folder)
+    if not system.exists(place):
+        return set()
+    return {status.getPath().getName() for status in system.listStatus(place)}
