@@ -16,7 +16,9 @@ candidate has to pass this test under every order used here:
 What passes all of them is verified on the whole sets.
 
 Sets, not documents, are compared: copies are one class. In each key one class is the
-centre, and every other is a candidate with it: a row for each class, never pairs. Where a
+centre, and every other is a candidate with it: a row for each class, never pairs. A class
+is first compared with the centre it shares most keys with, then with those of its centres
+that are in other components still. Where a
 key then still holds several components, its classes are compared in full, those of alike
 size against each other, in blocks of bounded size; a block hands on links that join
 components, never all its pairs. Keys with equal classes are done once. No key is capped.
@@ -232,7 +234,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _whole_sets(frequent, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         orders = Orders(frequent.value)
-        longs = pa.list_(pa.int64())
+        kinds = [pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32())]
         for batch in batches:
             at, out = [], ([], [], [])
             for i, shingles in _sets(batch.column("text")):
@@ -241,9 +243,10 @@ def _whole_sets(frequent, percent: int):
                 at.append(i)
                 out[0].append(shingles.view(np.int64))
                 for k, order in enumerate(_ORDERS, 1):
-                    out[k].append(orders.first(shingles, count, order).view(np.int64))
+                    # Halves of the hashes: a filter may let more through.
+                    out[k].append(orders.first(shingles, count, order).astype(np.uint32).view(np.int32))
             if at:
-                columns = [pa.array(x, longs) for x in out]
+                columns = [pa.array(x, kind) for x, kind in zip(out, kinds)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("node").take(pa.array(at)), pa.array([len(x) for x in out[0]], pa.int64()),
                      *columns],
@@ -334,7 +337,24 @@ def _with_centres(bands: DataFrame) -> DataFrame:
         "centres",
     )
     met = bands.join(centres, "token").where("node <> centre")
-    return met.select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
+    return met.groupBy(F.col("node").alias("a"), F.col("centre").alias("b")).agg(F.count("*").alias("keys"))
+
+
+def _centre_links(pairs: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links to the centres, and the components they make."""
+    best = pairs.groupBy("a").agg(F.max_by("b", F.struct("keys", "b")).alias("b"))
+    links = _verified(materialise(best, "best"), sets, percent)
+    grouped = materialise(components(links), "components")
+    others = pairs.select("a", "b").join(best, ["a", "b"], "left_anti")
+    for end in ("a", "b"):
+        names = grouped.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}"))
+        others = others.join(names, end, "left")
+    apart = F.coalesce("of_a", "a") != F.coalesce("of_b", "b")
+    more = _verified(materialise(others.where(apart).select("a", "b"), "pairs"), sets, percent)
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        grouped = materialise(components(links), "components")
+    return links, grouped
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -486,11 +506,10 @@ def jaccard_components(docs: DataFrame, percent: int = 80, counters: int = COUNT
     )
     sets = met.select("w.node", "t.text").dropDuplicates(["node"]).mapInArrow(
         _whole_sets(frequent, percent),
-        "node long, n long, shingles array<long>, second array<long>, third array<long>",
+        "node long, n long, shingles array<long>, second array<int>, third array<int>",
     )
     sets = materialise(sets, "sets")
-    links = _verified(materialise(_with_centres(bands), "pairs"), sets, percent)
-    grouped = materialise(components(links), "components")
+    links, grouped = _centre_links(materialise(_with_centres(bands), "pairs"), sets, percent)
     with_component = bands.join(grouped, "node", "left").select(
         "token", "node", F.coalesce("component", "node").alias("component")
     )
