@@ -85,14 +85,19 @@ def fct_bookings(
     ``flights`` comes from ``flight_keys``. Both customer joins share one shuffle by
     customer, and AQE splits the partitions of frequent ones.
     """
+    return fct_bookings_of_flights(bookings.join(flights, "flight_id", "left"), history, customers)
+
+
+def fct_bookings_of_flights(booked: DataFrame, history: DataFrame, customers: DataFrame) -> DataFrame:
+    """``fct_bookings`` of bookings that were joined with their flights' keys before."""
     versioned = version_in_force(
-        bookings, history, "customer_id", "booking_date",
+        booked, history, "customer_id", "booking_date",
         ["loyalty_tier", "customer_segment", "dbt_scd_id"],
     )
     now = _renamed(
         customers, customer_id="customer_id", tier_now="loyalty_tier", segment_now="customer_segment"
     )
-    joined = versioned.join(now, "customer_id", "left").join(flights, "flight_id", "left")
+    joined = versioned.join(now, "customer_id", "left")
     fare = _fare_key()
     premium = F.col("fare_class").isin("Business", "Premium Economy")
     return joined.select(
@@ -117,12 +122,19 @@ def fct_bookings(
 
 def fct_ancillary_offers(offers: DataFrame, bookings: DataFrame, customers: DataFrame) -> DataFrame:
     """One row per offer made on a known booking."""
-    booked = bookings.select("booking_id", "customer_id", "flight_id", "fare_class", "fare_family")
+    return fct_offers_of_bookings(offers.join(bookings.select(*BOOKED), "booking_id"), customers)
+
+
+# What an offer takes from its booking.
+BOOKED = ("booking_id", "customer_id", "flight_id", "fare_class", "fare_family")
+
+
+def fct_offers_of_bookings(booked: DataFrame, customers: DataFrame) -> DataFrame:
+    """``fct_ancillary_offers`` of offers that were joined with their bookings before."""
     who = customers.select("customer_id", "customer_sk", "customer_segment", "loyalty_tier")
     day = F.to_date("offer_at")
     return (
-        offers.join(booked, "booking_id")
-        .join(who, "customer_id", "left")
+        booked.join(who, "customer_id", "left")
         .select(
             surrogate_key("ancillary_offer_id").alias("ancillary_offer_sk"),
             "ancillary_offer_id", "booking_id", "customer_sk", "customer_id",
