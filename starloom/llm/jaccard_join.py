@@ -11,9 +11,10 @@ candidate has to pass this test under every order used here:
 1. Among what was sent, rarest first, by counts over all documents: ``l`` common shingles
    of so many mean one among the rarest but ``l - 1``. Only these stay as join keys, so a
    document that is mostly its own has none.
-2. By a second hash, and 3. by a third: tested for each candidate pair.
+2. By a second hash: candidate pairs have to share as many of their first shingles as
+   ``filter_counts`` says.
 
-What passes all of them is verified on the whole sets.
+What passes all of them is verified on the whole sets, which only these classes send.
 
 Sets, not documents, are compared: copies are one class. In each key one class is the
 centre, and every other is a candidate with it: a row for each class, never pairs. A class
@@ -40,6 +41,7 @@ An empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -54,7 +56,7 @@ SHINGLE = 5
 COUNTERS = 1 << 16  # frequent shingles known to every task
 MEMBERS, SHINGLES = 256, 1 << 19  # most classes, and most shingles, in a block
 COLUMNS = 1 << 13  # shingles counted at a time in a block
-_ORDERS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03))
+_SECOND = np.uint64(0x9E3779B97F4A7C15)
 
 
 def needed(n, percent: int):
@@ -77,6 +79,15 @@ def key_counts(n, percent: int) -> tuple[int, int]:
     return sent, sent - spare(need, percent) + 1
 
 
+def filter_counts(n, percent: int) -> tuple[int, int]:
+    """First shingles of a set of ``n`` under order 2, and how many of them it shares with
+    any partner that is not smaller; the second number never falls as ``n`` grows, so a
+    pair shares what the smaller set needs."""
+    need = needed(n, percent)
+    common = min(need, (n - need) // 2 + 1)
+    return n - need + common, common
+
+
 def _sets(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
     """Number and sorted distinct shingles of each text that has words."""
     for piece in T.words(column, T.BLANK_TABLE, T.PLAIN_FOLD):
@@ -231,31 +242,42 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _whole_sets(frequent, percent: int):
+def _filters(frequent, percent: int):
+    """The first shingles under order 2, as 32-bit values: some may fall together."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         orders = Orders(frequent.value)
-        kinds = [pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32())]
         for batch in batches:
-            at, out = [], ([], [], [])
+            at, sizes, firsts = [], [], []
             for i, shingles in _sets(batch.column("text")):
-                n = len(shingles)
-                count = n - needed(n, percent) + 1
+                first = orders.first(shingles, filter_counts(len(shingles), percent)[0], _SECOND)
                 at.append(i)
-                out[0].append(shingles.view(np.int64))
-                for k, order in enumerate(_ORDERS, 1):
-                    # Halves of the hashes: a filter may let more through.
-                    out[k].append(orders.first(shingles, count, order).astype(np.uint32).view(np.int32))
+                sizes.append(len(shingles))
+                firsts.append(np.unique(first.astype(np.uint32)).view(np.int32))
             if at:
-                columns = [pa.array(x, kind) for x, kind in zip(out, kinds)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("node").take(pa.array(at)), pa.array([len(x) for x in out[0]], pa.int64()),
-                     *columns],
-                    ["node", "n", "shingles", "second", "third"],
+                    [batch.column("node").take(pa.array(at)), pa.array(sizes, pa.int64()),
+                     pa.array(firsts, pa.list_(pa.int32()))],
+                    ["node", "n", "second"],
                 )
 
     return run
 
 
+def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        at, sets = [], []
+        for i, shingles in _sets(batch.column("text")):
+            at.append(i)
+            sets.append(shingles.view(np.int64))
+        if at:
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node").take(pa.array(at)), pa.array([len(x) for x in sets], pa.int64()),
+                 pa.array(sets, pa.list_(pa.int64()))],
+                ["node", "n", "shingles"],
+            )
+
+
 def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     """Size of the intersection of every set on the left with every one on the right."""
     out = np.zeros((len(left), len(right)), dtype=np.int64)
@@ -284,25 +306,48 @@ def _arrays(table: pa.Table, name: str, rows: np.ndarray) -> list[np.ndarray]:
     return [values[at[i] : at[i + 1]] for i in rows]
 
 
+def _near(table: pa.Table, percent: int):
+    """The two sides of a meeting, and which pairs of alike size are in different
+    components."""
+    component, block, n = (table.column(c).to_numpy() for c in ("component", "of_block", "n"))
+    sides = [np.flatnonzero(block == b) for b in np.unique(block)]
+    first, second = sides[0], sides[-1]
+    x, y = n[first][:, None], n[second]
+    near = 100 * np.minimum(x, y) >= percent * np.maximum(x, y)
+    return first, second, near & (component[first][:, None] != component[second])
+
+
+_MEMBERS = ("token", "s", "i", "t", "j", "node", "component", "n", "of_block")
+
+
+def _possible_in_block(percent: int):
+    """The classes of a meeting that pass the filter of order 2 with another one."""
+
+    def run(table: pa.Table) -> pa.Table:
+        first, second, near = _near(table, percent)
+        if near.any():
+            n = table.column("n").to_numpy()
+            counts = np.array([filter_counts(x, percent) for x in n.tolist()])
+            seen = _arrays(table, "second", np.arange(len(n)))
+            lost = counts[:, 0] - np.array([len(x) for x in seen])
+            shared = shared_counts([seen[i] for i in first], [seen[i] for i in second])
+            shared += lost[first][:, None] + lost[second]
+            near &= shared >= np.minimum(counts[first, 1][:, None], counts[second, 1])
+        kept = np.union1d(first[near.any(axis=1)], second[near.any(axis=0)])
+        return table.select(list(_MEMBERS)).take(pa.array(kept))
+
+    return run
+
+
 def _links_in_block(percent: int):
     """Links between different components in two blocks of a key, or within one."""
 
     def run(table: pa.Table) -> pa.Table:
-        names = ["node", "component", "of_block", "n"]
-        node, component, block, n = (table.column(c).to_numpy() for c in names)
-        sides = [np.flatnonzero(block == b) for b in np.unique(block)]
-        first, second = sides[0], sides[-1]
-        near = 100 * np.minimum(n[first][:, None], n[second]) >= percent * np.maximum(
-            n[first][:, None], n[second]
-        )
-        near &= component[first][:, None] != component[second]
-        for c in ("second", "third"):  # the filters of the further orders
-            if near.any():
-                near &= shared_counts(_arrays(table, c, first), _arrays(table, c, second)) > 0
+        node, component, n = (table.column(c).to_numpy() for c in ("node", "component", "n"))
+        first, second, near = _near(table, percent)
         found: list[tuple[int, int]] = []
         if near.any():
-            whole = (_arrays(table, "shingles", side) for side in (first, second))
-            shared = shared_counts(*whole)
+            shared = shared_counts(*(_arrays(table, "shingles", side) for side in (first, second)))
             total = n[first][:, None] + n[second] - shared
             top: dict[int, int] = {}
 
@@ -324,6 +369,19 @@ def _links_in_block(percent: int):
     return run
 
 
+@dataclass(frozen=True)
+class Classes:
+    """Classes that may have partners: their texts, and their filters under order 2."""
+
+    texts: DataFrame
+    filters: DataFrame
+
+    def sets(self, nodes: DataFrame) -> DataFrame:
+        """``node, n, shingles`` of some of them."""
+        some = self.texts.join(nodes.select("node").distinct(), "node")
+        return materialise(some.mapInArrow(_whole_sets, "node long, n long, shingles array<long>"), "sets")
+
+
 def _with_centres(bands: DataFrame) -> DataFrame:
     """Every class of a key with the key's centre: ``a, b``; the centre is the class that
     shares most keys with others."""
@@ -340,51 +398,57 @@ def _with_centres(bands: DataFrame) -> DataFrame:
     return met.groupBy(F.col("node").alias("a"), F.col("centre").alias("b")).agg(F.count("*").alias("keys"))
 
 
-def _centre_links(pairs: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+def _centre_links(pairs: DataFrame, classes: Classes, percent: int) -> tuple[DataFrame, DataFrame]:
     """Links to the centres, and the components they make."""
-    best = pairs.groupBy("a").agg(F.max_by("b", F.struct("keys", "b")).alias("b"))
-    links = _verified(materialise(best, "best"), sets, percent)
+    best = materialise(pairs.groupBy("a").agg(F.max_by("b", F.struct("keys", "b")).alias("b")), "best")
+    links = _verified(best, classes, percent)
     grouped = materialise(components(links), "components")
     others = pairs.select("a", "b").join(best, ["a", "b"], "left_anti")
     for end in ("a", "b"):
         names = grouped.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}"))
         others = others.join(names, end, "left")
     apart = F.coalesce("of_a", "a") != F.coalesce("of_b", "b")
-    more = _verified(materialise(others.where(apart).select("a", "b"), "pairs"), sets, percent)
+    more = _verified(materialise(others.where(apart).select("a", "b"), "pairs"), classes, percent)
     if not more.isEmpty():
         links = links.unionByName(more)
         grouped = materialise(components(links), "components")
     return links, grouped
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of the pairs ``a, b`` that pass the filters of the further orders and share
-    enough; ``b`` are few classes."""
+def _verified(pairs: DataFrame, classes: Classes, percent: int) -> DataFrame:
+    """Those of the pairs ``a, b`` that pass the filter of order 2 and share enough; ``b``
+    are few classes."""
 
-    def side(name: str, *columns: str) -> DataFrame:
-        return sets.select(
-            F.col("node").alias(name), F.col("n").alias(f"n_{name}"),
-            *[F.col(c).alias(f"{c}_{name}") for c in columns],
-        )
+    def met(frame: DataFrame, rows: DataFrame, column: str) -> DataFrame:
+        def side(name: str) -> DataFrame:
+            return rows.select(
+                F.col("node").alias(name), F.col("n").alias(f"n_{name}"), F.col(column).alias(f"{column}_{name}")
+            )
 
-    def of(frame: DataFrame, *columns: str) -> DataFrame:
         ends = materialise(frame.select("b").distinct(), "ends")
-        return frame.join(side("a", *columns), "a").join(side("b", *columns).join(ends, "b"), "b")
+        return frame.join(side("a"), "a").join(side("b").join(ends, "b"), "b")
 
     close = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    passed = materialise(
-        of(pairs, "second", "third")
-        .where(close & F.arrays_overlap("second_a", "second_b") & F.arrays_overlap("third_a", "third_b"))
-        .select("a", "b"),
-        "candidates",
-    )
+    least = _filter_counts_columns(F.least("n_a", "n_b"), percent)[1]
+    lost = [_filter_counts_columns(F.col(f"n_{x}"), percent)[0] - F.size(f"second_{x}") for x in "ab"]
+    enough = F.size(F.array_intersect("second_a", "second_b")) + lost[0] + lost[1] >= least
+    passed = met(pairs, classes.filters, "second").where(close & enough)
+    passed = materialise(passed.select("a", "b"), "candidates")
+    sets = classes.sets(passed.select(F.explode(F.array("a", "b")).alias("node")))
     shared = F.size(F.array_intersect("shingles_a", "shingles_b"))
-    linked = of(passed, "shingles").where(
+    linked = met(passed, sets, "shingles").where(
         100 * shared >= percent * (F.col("n_a") + F.col("n_b") - shared)
     )
     return materialise(linked.select("a", "b"), "links")
 
 
+def _filter_counts_columns(n, percent: int):
+    """``filter_counts`` as columns."""
+    need = F.floor((n * percent + 99) / 100)
+    common = F.least(need, F.floor((n - need) / 2) + 1)
+    return n - need + common, common
+
+
 def _open_keys(bands: DataFrame) -> DataFrame:
     """Rows of the keys that hold several components; of keys with equal classes, one."""
     kinds = bands.groupBy("token").agg(
@@ -398,12 +462,12 @@ def _open_keys(bands: DataFrame) -> DataFrame:
     return bands.join(materialise(chosen.select("token"), "open_keys"), "token")
 
 
-def _compared(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _compared(rows: DataFrame, classes: Classes, percent: int) -> DataFrame:
     """Links of the open keys, from every two blocks of a key that hold alike sizes."""
     # Linked sets lie in one step of this scale or in neighbouring ones.
     step = F.floor(F.log(F.col("n")) / float(np.log(100 / percent)) + 1e-9).cast("int")
     most = F.greatest(F.lit(1), F.least(F.lit(MEMBERS), F.floor(SHINGLES / F.pow(F.lit(100 / percent), F.col("step") + 1))))
-    rows = rows.join(sets.select("node", "n"), "node").withColumn("step", step)
+    rows = rows.join(classes.filters.select("node", "n"), "node").withColumn("step", step)
     counts = rows.groupBy("token", "step").agg(F.count("*").alias("members"))
     counts = materialise(
         counts.select("token", "step", F.ceil(F.col("members") / most).cast("int").alias("blocks")), "blocks"
@@ -436,12 +500,15 @@ def _compared(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     met = dealt.withColumn("meeting", F.explode(F.concat(same, up, down))).select(
         "token", "node", "component", "meeting.*", F.xxhash64("step", "block").alias("of_block")
     )
-    met = met.join(sets, "node").select(
-        "token", "s", "i", "t", "j", "node", "component", "n", "of_block", "shingles", "second", "third"
-    )
-    found = met.groupBy("token", "s", "i", "t", "j").applyInArrow(
-        _links_in_block(percent), "a long, b long"
+    met = met.join(classes.filters, "node").select(*_MEMBERS, "second")
+    meeting = ["token", "s", "i", "t", "j"]
+    possible = met.groupBy(*meeting).applyInArrow(
+        _possible_in_block(percent),
+        "token long, s int, i int, t int, j int, node long, component long, n long, of_block long",
     )
+    possible = materialise(possible, "possible")
+    whole = possible.join(classes.sets(possible).select("node", "shingles"), "node")
+    found = whole.groupBy(*meeting).applyInArrow(_links_in_block(percent), "a long, b long")
     return materialise(found.distinct(), "links")
 
 
@@ -504,17 +571,15 @@ def jaccard_components(docs: DataFrame, percent: int = 80, counters: int = COUNT
         wanted.alias("w"),
         F.col("t.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("t.text_key") == F.col("w.text_key")),
     )
-    sets = met.select("w.node", "t.text").dropDuplicates(["node"]).mapInArrow(
-        _whole_sets(frequent, percent),
-        "node long, n long, shingles array<long>, second array<int>, third array<int>",
-    )
-    sets = materialise(sets, "sets")
-    links, grouped = _centre_links(materialise(_with_centres(bands), "pairs"), sets, percent)
+    texts = materialise(met.select("w.node", "t.text").dropDuplicates(["node"]), "texts")
+    filters = texts.mapInArrow(_filters(frequent, percent), "node long, n long, second array<int>")
+    found = Classes(texts, materialise(filters, "filters"))
+    links, grouped = _centre_links(materialise(_with_centres(bands), "pairs"), found, percent)
     with_component = bands.join(grouped, "node", "left").select(
         "token", "node", F.coalesce("component", "node").alias("component")
     )
     open_rows = materialise(_open_keys(materialise(with_component, "bands")), "open")
-    further = _compared(open_rows, sets, percent)
+    further = _compared(open_rows, found, percent)
     if not further.isEmpty():
         grouped = materialise(components(links.unionByName(further)), "components")
     in_components = classes.join(grouped, "node", "left").select(

@@ -124,6 +124,9 @@ def test_prefix_bounds():
             first = sorted(side, key=order.get)[:sent]
             keys.append(set(sorted(first, key=second.get)[:kept]))
         assert keys[0] & keys[1]
+        counts = [J.filter_counts(len(side), 80) for side in (a, b)]
+        first = [set(sorted(side, key=order.get)[: c[0]]) for side, c in zip((a, b), counts)]
+        assert len(first[0] & first[1]) >= min(counts[0][1], counts[1][1])
 
 
 def test_shared_rows_over_batches():
