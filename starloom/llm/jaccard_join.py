@@ -11,15 +11,16 @@ candidate has to pass this test under every order used here:
 1. Among what was sent, rarest first, by counts over all documents: ``l`` common shingles
    of so many mean one among the rarest but ``l - 1``. Only these stay as join keys, so a
    document that is mostly its own has none.
-2. By a second hash: candidate pairs have to share as many of their first shingles as
-   ``filter_counts`` says.
+2. By a second hash: the candidate pairs of step 1 below have to share as many of their
+   first shingles as ``filter_counts`` says.
 
-What passes all of them is verified on the whole sets, which only these classes send.
+What passes is compared by parity bitmaps, which rule out no linked pair, and then verified
+on the whole sets, which only these classes send.
 
-Sets, not documents, are compared: copies are one class. In each key one class is the
+Sets, not documents, are compared: copies are one class. Step 1: in each key one class is the
 centre, and every other is a candidate with it: a row for each class, never pairs. A class
 is first compared with the centre it shares most keys with, then with those of its centres
-that are in other components still. Where a
+that are in other components still. Step 2: where a
 key then still holds several components, its classes are compared in full, those of alike
 size against each other, in blocks of bounded size; a block hands on links that join
 components, never all its pairs. Keys with equal classes are done once. No key is capped.
@@ -242,14 +243,51 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def parity_bits(shingles: np.ndarray) -> bytes:
+    """A bit for each rest of the hashes by a power of two, at least as many as shingles:
+    whether it occurs an odd number of times. Bits of two sets differ in no more places than
+    the sets do in shingles."""
+    width = max(256, 1 << (len(shingles) - 1).bit_length())
+    places = (shingles & np.uint64(width - 1)).astype(np.int64)
+    odd = (np.bincount(places, minlength=width) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").tobytes()
+
+
+def folded(bits: list[bytes]) -> np.ndarray:
+    """Bitmaps as rows of 64-bit words, all folded to the width of the shortest."""
+    width = min(map(len, bits))
+    rows = np.zeros((len(bits), width // 8), dtype=np.uint64)
+    for i, raw in enumerate(bits):
+        for part in np.frombuffer(raw, dtype=np.uint64).reshape(-1, width // 8):
+            rows[i] ^= part
+    return rows
+
+
+def _bits_fit(percent: int):
+    """Pairs that their bitmaps don't rule out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            total = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+            bits = zip(batch.column("bits_a").to_pylist(), batch.column("bits_b").to_pylist())
+            pairs = (folded([x, y]) for x, y in bits)
+            differ = np.array([int(np.bitwise_count(x ^ y).sum()) for x, y in pairs], dtype=np.int64)
+            fit = pa.array(differ * (100 + percent) <= total * (100 - percent))
+            yield batch.select(["a", "b"]).filter(fit)
+
+    return run
+
+
 def _filters(frequent, percent: int):
-    """The first shingles under order 2, as 32-bit values: some may fall together."""
+    """The first shingles under order 2, as 32-bit values (some may fall together), and the
+    bitmap of all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         orders = Orders(frequent.value)
         for batch in batches:
-            at, sizes, firsts = [], [], []
+            at, sizes, firsts, bits = [], [], [], []
             for i, shingles in _sets(batch.column("text")):
+                bits.append(parity_bits(shingles))
                 first = orders.first(shingles, filter_counts(len(shingles), percent)[0], _SECOND)
                 at.append(i)
                 sizes.append(len(shingles))
@@ -257,8 +295,8 @@ def _filters(frequent, percent: int):
             if at:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("node").take(pa.array(at)), pa.array(sizes, pa.int64()),
-                     pa.array(firsts, pa.list_(pa.int32()))],
-                    ["node", "n", "second"],
+                     pa.array(firsts, pa.list_(pa.int32())), pa.array(bits, pa.binary())],
+                    ["node", "n", "second", "bits"],
                 )
 
     return run
@@ -321,20 +359,19 @@ _MEMBERS = ("token", "s", "i", "t", "j", "node", "component", "n", "of_block")
 
 
 def _possible_in_block(percent: int):
-    """The classes of a meeting that pass the filter of order 2 with another one."""
+    """The classes of a meeting that have a partner by the bitmaps."""
 
     def run(table: pa.Table) -> pa.Table:
         first, second, near = _near(table, percent)
-        if near.any():
-            n = table.column("n").to_numpy()
-            counts = np.array([filter_counts(x, percent) for x in n.tolist()])
-            seen = _arrays(table, "second", np.arange(len(n)))
-            lost = counts[:, 0] - np.array([len(x) for x in seen])
-            shared = shared_counts([seen[i] for i in first], [seen[i] for i in second])
-            shared += lost[first][:, None] + lost[second]
-            near &= shared >= np.minimum(counts[first, 1][:, None], counts[second, 1])
+        n, rows = table.column("n").to_numpy(), folded(table.column("bits").to_pylist())
+        for i, a in enumerate(first.tolist()):
+            some = np.flatnonzero(near[i])
+            if len(some):
+                b = second[some]
+                differ = np.bitwise_count(rows[b] ^ rows[a]).sum(axis=1, dtype=np.int64)
+                near[i, some] = differ * (100 + percent) <= (n[a] + n[b]) * (100 - percent)
         kept = np.union1d(first[near.any(axis=1)], second[near.any(axis=0)])
-        return table.select(list(_MEMBERS)).take(pa.array(kept))
+        return table.select(list(_MEMBERS)).take(pa.array(kept, pa.int64()))
 
     return run
 
@@ -419,11 +456,12 @@ def _verified(pairs: DataFrame, classes: Classes, percent: int) -> DataFrame:
     """Those of the pairs ``a, b`` that pass the filter of order 2 and share enough; ``b``
     are few classes."""
 
-    def met(frame: DataFrame, rows: DataFrame, column: str) -> DataFrame:
+    def met(frame: DataFrame, rows: DataFrame, *columns: str) -> DataFrame:
         def side(name: str) -> DataFrame:
             return rows.select(
-                F.col("node").alias(name), F.col("n").alias(f"n_{name}"), F.col(column).alias(f"{column}_{name}")
-            )
+                F.col("node").alias(name), F.col("n").alias(f"n_{name}"),
+                *[F.col(c).alias(f"{c}_{name}") for c in columns],
+            )
 
         ends = materialise(frame.select("b").distinct(), "ends")
         return frame.join(side("a"), "a").join(side("b").join(ends, "b"), "b")
@@ -432,8 +470,11 @@ def _verified(pairs: DataFrame, classes: Classes, percent: int) -> DataFrame:
     least = _filter_counts_columns(F.least("n_a", "n_b"), percent)[1]
     lost = [_filter_counts_columns(F.col(f"n_{x}"), percent)[0] - F.size(f"second_{x}") for x in "ab"]
     enough = F.size(F.array_intersect("second_a", "second_b")) + lost[0] + lost[1] >= least
-    passed = met(pairs, classes.filters, "second").where(close & enough)
-    passed = materialise(passed.select("a", "b"), "candidates")
+    passed = met(pairs, classes.filters, "second", "bits").where(close & enough)
+    passed = passed.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(
+        _bits_fit(percent), "a long, b long"
+    )
+    passed = materialise(passed, "candidates")
     sets = classes.sets(passed.select(F.explode(F.array("a", "b")).alias("node")))
     shared = F.size(F.array_intersect("shingles_a", "shingles_b"))
     linked = met(passed, sets, "shingles").where(
@@ -500,7 +541,7 @@ def _compared(rows: DataFrame, classes: Classes, percent: int) -> DataFrame:
     met = dealt.withColumn("meeting", F.explode(F.concat(same, up, down))).select(
         "token", "node", "component", "meeting.*", F.xxhash64("step", "block").alias("of_block")
     )
-    met = met.join(classes.filters, "node").select(*_MEMBERS, "second")
+    met = met.join(classes.filters, "node").select(*_MEMBERS, "bits")
     meeting = ["token", "s", "i", "t", "j"]
     possible = met.groupBy(*meeting).applyInArrow(
         _possible_in_block(percent),
@@ -572,7 +613,7 @@ def jaccard_components(docs: DataFrame, percent: int = 80, counters: int = COUNT
         F.col("t.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("t.text_key") == F.col("w.text_key")),
     )
     texts = materialise(met.select("w.node", "t.text").dropDuplicates(["node"]), "texts")
-    filters = texts.mapInArrow(_filters(frequent, percent), "node long, n long, second array<int>")
+    filters = texts.mapInArrow(_filters(frequent, percent), "node long, n long, second array<int>, bits binary")
     found = Classes(texts, materialise(filters, "filters"))
     links, grouped = _centre_links(materialise(_with_centres(bands), "pairs"), found, percent)
     with_component = bands.join(grouped, "node", "left").select(

@@ -157,3 +157,14 @@ def test_counters_miss_nothing_frequent():
     found = dict(zip(counters.values.tolist(), counters.counts.tolist()))
     for value in range(5):
         assert 3_000 - len(values) / 64 <= found[value] <= 3_000
+
+
+def test_bitmaps_rule_out_no_linked_pair():
+    rng = np.random.default_rng(6)
+    for n in (1, 40, 300, 2_000):
+        base = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        for changed in (0, n // 20, n // 5, n // 2):
+            other = np.concatenate([base[changed:], rng.integers(0, 1 << 63, 2 * changed, dtype=np.uint64)])
+            x, y = J.folded([J.parity_bits(base), J.parity_bits(other)])
+            differ = int(np.bitwise_count(x ^ y).sum())
+            assert differ <= len(np.setxor1d(base, other))
