@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.columns import ratio_of_positive
 from starloom.functions.ranks import Rank, add_ranks
+from starloom.sources.writers import MONTH
 
 RFM_RANKS = [
     Rank("r_score", "recency_days", "ntile", descending=True),
@@ -43,6 +46,44 @@ def rfm_base(
     )
 
 
+def daily_spend(bookings: DataFrame, statuses: tuple[str, ...] = ("Flown", "Confirmed")) -> DataFrame:
+    """Bookings and spend per customer and day: what the recency table needs of bookings. A
+    further day adds its own rows, and reads no other."""
+    spend = F.col("ticket_price_usd") + F.col("ancillary_revenue_usd")
+    return (
+        bookings.where(F.col("booking_status").isin(*statuses))
+        .groupBy("customer_id", "booking_date")
+        .agg(F.count("*").alias("bookings"), F.sum(spend).cast("decimal(38,2)").alias("spend_usd"))
+    )
+
+
+def rfm_base_of_days(daily: DataFrame, window_days: int = 365) -> DataFrame:
+    """``rfm_base`` from ``daily_spend``, stored by month of ``booking_date``. The sums of the
+    last days read only the months they lie in."""
+    latest = daily.agg(F.max("booking_date")).first()[0]
+    spent = F.col("spend_usd")
+    total = daily.groupBy("customer_id").agg(
+        F.max("booking_date").alias("last_booking_date"),
+        F.sum("bookings").alias("frequency_total"),
+        F.sum(spent).cast("decimal(38,2)").alias("monetary_total_usd"),
+    )
+    if latest is None:
+        recent = daily.where("false")
+    else:
+        first = latest - dt.timedelta(days=window_days)
+        recent = daily.where((F.col(MONTH) >= F.lit(first.replace(day=1))) & (F.col("booking_date") >= F.lit(first)))
+    recent = recent.groupBy(F.col("customer_id").alias("_customer")).agg(
+        F.sum("bookings").alias("_bookings"), F.sum(spent).alias("_spend")
+    )
+    met = total.join(recent, F.col("customer_id").eqNullSafe(F.col("_customer")), "left")
+    return met.select(
+        "customer_id", "last_booking_date",
+        F.datediff(F.lit(latest).cast("date"), "last_booking_date").alias("recency_days"),
+        "frequency_total", F.coalesce("_bookings", F.lit(0)).alias("frequency_12m"),
+        "monetary_total_usd", F.coalesce("_spend", F.lit(0)).cast("decimal(38,2)").alias("monetary_12m_usd"),
+    )
+
+
 def rfm(base: DataFrame) -> DataFrame:
     """Add quintile scores and the spend percentile; ``base`` is a written table."""
     return add_ranks(base, "customer_id", RFM_RANKS)

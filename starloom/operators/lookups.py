@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.functions.columns import ratio
@@ -87,3 +87,13 @@ def capped(df: DataFrame, cap: int = ROW_CAP, exact: bool = False) -> tuple[list
     """
     rows = df.limit(cap + 1 if exact else cap).collect()
     return rows[:cap], len(rows) > cap if exact else len(rows) == cap
+
+
+def capped_frame(df: DataFrame, order: list, cap: int = ROW_CAP) -> DataFrame:
+    """The first ``cap`` rows in an order that tells rows apart, with ``truncated``: whether
+    there are more. Each task keeps one row more than the cap at most."""
+    top = df.orderBy(*order).limit(cap + 1)
+    # At most cap + 1 rows, so numbering them in one task is bounded.
+    numbered = top.withColumn("_nth", F.row_number().over(Window.orderBy(*order)))
+    more = F.max("_nth").over(Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    return numbered.withColumn("truncated", more > cap).where(F.col("_nth") <= cap).drop("_nth")

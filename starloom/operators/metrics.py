@@ -6,7 +6,7 @@ import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -186,6 +186,10 @@ METRICS = {
 }
 
 GRAINS = ("day", "week", "month", "quarter", "year")
+_STEPS = {
+    "day": "interval 1 day", "week": "interval 7 days", "month": "interval 1 month",
+    "quarter": "interval 3 months", "year": "interval 1 year",
+}
 
 
 @dataclass
@@ -208,8 +212,10 @@ class MetricLayer:
 
         All metrics of one model come from one aggregation. A dimension of another
         model is written ``entity__dimension`` and joined through that entity before
-        grouping. ``where`` filters rows by the names in ``group_by``. ``spine`` (one
-        ``date_day`` per row) adds the periods that have no rows.
+        grouping; the way there may take several entities. ``where`` filters rows by the
+        names in ``group_by`` and the fact's own columns. ``spine`` (one ``date_day`` per
+        row, so that its periods are few) adds the periods that have no rows; with
+        ``group_by``, in each group those between its own first and last period.
         """
         group_by = list(group_by or [])
         if grain is not None and grain not in GRAINS:
@@ -232,12 +238,28 @@ class MetricLayer:
             merged = [F.max(m.name).alias(m.name) for m in simple]
             result = result.groupBy(*keys).agg(*merged)
         if spine is not None and grain:
-            if group_by:
-                raise ValueError("the time spine fills periods only without other dimensions")
             periods = spine.select(self._period("date_day", grain)).distinct()
-            result = periods.join(result, "metric_time", "left")
+            if group_by:
+                result = self._filled(result, group_by, grain).join(F.broadcast(periods), "metric_time", "left_semi")
+            else:
+                result = periods.join(result, "metric_time", "left")
         return result.select(*keys, *[self._formula(name).alias(name) for name in metrics])
 
+    @staticmethod
+    def _filled(result: DataFrame, group_by: list[str], grain: str) -> DataFrame:
+        """The missing periods of each group, from each row up to the next one: one shuffle
+        by group, no join."""
+        following = F.lead("metric_time").over(Window.partitionBy(*group_by).orderBy("metric_time"))
+        step = F.expr(_STEPS[grain])
+        rows = result.where("metric_time is not null").withColumn("_next", following)
+        until = F.coalesce(F.date_sub("_next", 1), "metric_time")
+        rows = rows.select("*", F.posexplode(F.sequence("metric_time", until, step)).alias("_nth", "_period"))
+        others = [c for c in result.columns if c not in (*group_by, "metric_time")]
+        return rows.select(
+            F.col("_period").alias("metric_time"), *group_by,
+            *[F.when(F.col("_nth") == 0, F.col(c)).alias(c) for c in others],
+        )
+
     def _simple_metrics(self, names: list[str]) -> list[Metric]:
         found: dict[str, Metric] = {}
         for name in names:
@@ -286,19 +308,52 @@ class MetricLayer:
             measures.append(model.measure(metric.measure).column(only).alias(metric.name))
         return df.groupBy(*keys).agg(*measures)
 
+    def _path(self, model: SemanticModel, entity: str) -> list[SemanticModel]:
+        """The models on the shortest way from one to the model that an entity is the
+        primary one of."""
+        owners = {m.primary[0]: m for m in self.models}
+        ways, seen = [[model]], {model.name}
+        while ways:
+            found = [way + [owners[entity]] for way in ways if entity in way[-1].foreign and entity in owners]
+            if len(found) > 1:
+                names = [[m.name for m in way] for way in found]
+                raise ValueError(f"several ways lead from {model.name} to {entity}: {names}")
+            if found:
+                return found[0][1:]
+            further = []
+            for way in ways:
+                for name in way[-1].foreign:
+                    other = owners.get(name)
+                    if other is not None and other.name not in seen:
+                        further.append(way + [other])
+            seen |= {way[-1].name for way in further}
+            ways = further
+        raise ValueError(f"{model.name} has no entity {entity}")
+
     def _join_entity(self, model: SemanticModel, df: DataFrame, name: str) -> DataFrame:
+        """Add ``entity__dimension``, or ``entity__other`` for the key of an entity that the
+        first one refers to."""
         entity, dimension = name.split("__", 1)
-        if entity not in model.foreign:
-            raise ValueError(f"{model.name} has no entity {entity}")
-        other = next((m for m in self.models if m.primary[0] == entity), None)
-        if other is None or dimension not in other.dimensions:
+        path = self._path(model, entity)
+        target = path[-1]
+        if dimension not in target.dimensions and dimension not in target.foreign:
             raise ValueError(f"no model offers {name}")
-        key = other.primary[1]
-        found = self.tables[other.table].select(
-            F.col(key).alias("_entity"), F.expr(other.dimensions[dimension]).alias(name)
-        )
-        # A key that repeats would multiply the measures: stop the job instead.
-        checked = found.groupBy("_entity").agg(F.max(name).alias(name), F.count("*").alias("_n"))
+        here = df.withColumn("_at", F.col(model.foreign[path[0].primary[0]]))
+        for i, step in enumerate(path):
+            last = i == len(path) - 1
+            if not last:
+                value = F.col(step.foreign[path[i + 1].primary[0]])
+            else:
+                value = F.expr(target.dimensions.get(dimension) or target.foreign[dimension])
+            here = here.join(self._unique(step, value), F.col("_at") == F.col("_entity"), "left")
+            here = here.withColumn("_at", F.col("_value")).drop("_entity", "_value")
+        return here.withColumnRenamed("_at", name)
+
+    def _unique(self, model: SemanticModel, value: Column) -> DataFrame:
+        """A value for each key of a model. A key that repeats would multiply the measures:
+        it stops the job instead."""
+        entity, key = model.primary
+        found = self.tables[model.table].select(F.col(key).alias("_entity"), value.alias("_value"))
+        counted = found.groupBy("_entity").agg(F.max("_value").alias("_value"), F.count("*").alias("_n"))
         stop = F.raise_error(F.lit(f"entity {entity} is not unique"))
-        checked = checked.select("_entity", F.when(F.col("_n") > 1, stop).otherwise(F.col(name)).alias(name))
-        return df.join(checked, df[model.foreign[entity]] == F.col("_entity"), "left").drop("_entity")
+        return counted.select("_entity", F.when(F.col("_n") > 1, stop).otherwise(F.col("_value")).alias("_value"))

@@ -19,8 +19,10 @@ from starloom.functions.frames import stack
 from starloom.functions.text import Vocabulary
 from starloom.operators import enrichment as enrich
 from starloom.operators import facts, feedback, lookups, quality, reports, scd2
+from starloom.operators import customers as cust
+from starloom.operators import distinct_counts, rule_files, rules
 from starloom.operators.colocated import Bucketed, colocated_join, write_bucketed
-from starloom.operators.metrics import MetricLayer
+from starloom.operators.metrics import Metric, MetricLayer
 from starloom.plans.history import HistoryStore
 from starloom.plans.oracle_views import (
     FIRST_SNAPSHOT,
@@ -33,7 +35,7 @@ from starloom.plans.warehouse import FACT_DAYS, StoredTables, Warehouse, stored_
 from starloom.session import materialise, prepare, shared_folder
 from starloom.sources.bindings import BOUND_LEXICON, BOUND_NEGATIONS, BOUND_TAXONOMY, Binder
 from starloom.sources.lexicons import seed_frame
-from starloom.sources.readers import stage
+from starloom.sources.readers import read_seed, read_source, stage
 from starloom.sources.schemas import SOURCES
 from starloom.sources.writers import replace_months, write_by_month
 
@@ -306,7 +308,7 @@ def _metrics(name: str, sql: str, rounded: str = "", days: str = "", money: str
         question = dict(ask)
         if question.pop("fill", False):
             question["spine"] = w["metricflow_time_spine"]
-        return MetricLayer(w).query(**question)
+        return MetricLayer(marts(w)).query(**question)
 
     _add(name, job, sql, rounded=rounded, days=days, money=money)
 
@@ -402,8 +404,9 @@ _metrics(
 def _measures(w: Warehouse) -> DataFrame:
     """Every measure of every model, over all rows."""
     parts = []
-    for model in MetricLayer(w).models:
-        one = w[model.table].agg(*[m.column().cast("double").alias(m.name) for m in model.measures])
+    tables = marts(w)
+    for model in MetricLayer(tables).models:
+        one = tables[model.table].agg(*[m.column().cast("double").alias(m.name) for m in model.measures])
         names = [F.struct(F.lit(model.name).alias("model"), F.lit(m.name).alias("measure"),
                           F.col(m.name).alias("value")) for m in model.measures]
         parts.append(one.select(F.explode(F.array(*names)).alias("r")).select("r.*"))
@@ -466,7 +469,7 @@ _add(
 
 def _report(name: str, sql: str, kinds: dict[str, str], **filters) -> None:
     base = name.removesuffix("_filtered").removesuffix("_uncut")
-    _add(f"report_{name}", lambda w: reports.report(base, w, **filters), sql, **kinds)
+    _add(f"report_{name}", lambda w: reports.report(base, marts(w), **filters), sql, **kinds)
 
 
 _REVENUE = {"rounded": "margin_pct load_factor", "money": "revenue"}
@@ -1141,3 +1144,181 @@ _add(
         and (h.until is null or b.booking_date < h.until)""",
     days="booking_date",
 )
+
+# ---- metrics by finer questions -----------------------------------------------------
+
+_metrics(
+    "metrics_by_day",
+    """select flight_date as metric_time, route_type, count(*) as m_flights_scheduled,
+              sum(pax_count)::bigint as m_pax
+       from fct_flights group by all""",
+    days="metric_time", metrics=["m_flights_scheduled", "m_pax"], group_by=["route_type"], grain="day",
+)
+_metrics(
+    "metrics_by_week_where",
+    """select date_trunc('week', booking_date)::date as metric_time, fare_class, count(*) as m_bookings,
+              count(distinct customer_id) as m_unique_customers
+       from fct_bookings where fare_class = 'Business' and booking_channel is not null group by 1, 2""",
+    days="metric_time", metrics=["m_bookings", "m_unique_customers"], group_by=["fare_class"],
+    grain="week", where="fare_class = 'Business' and booking_channel is not null",
+)
+_metrics(
+    "metrics_by_year",
+    """select date_trunc('year', flight_date)::date as metric_time,
+              avg(is_cancelled::int) as cancellation_rate,
+              sum(flight_margin_usd)::double / sum(total_revenue_usd)::double as route_margin_pct
+       from fct_flights group by 1""",
+    days="metric_time", rounded="cancellation_rate route_margin_pct",
+    metrics=["cancellation_rate", "route_margin_pct"], grain="year",
+)
+_metrics(
+    "metrics_on_spine_by_dimension",
+    """with had as (
+           select date_trunc('week', feedback_date)::date as metric_time, complaint_category, language,
+                  avg(sentiment_score) as customer_sentiment
+           from fct_customer_feedback group by 1, 2, 3
+       ), ends as (
+           select complaint_category, language, min(metric_time) as first, max(metric_time) as last
+           from had group by 1, 2
+       ), weeks as (
+           select distinct date_trunc('week', date_day)::date as metric_time from dim_date
+       )
+       select w.metric_time, e.complaint_category, e.language, h.customer_sentiment
+       from ends e join weeks w on w.metric_time between e.first and e.last
+       left join had h on h.metric_time = w.metric_time
+        and h.complaint_category is not distinct from e.complaint_category
+        and h.language is not distinct from e.language""",
+    days="metric_time", rounded="customer_sentiment", metrics=["customer_sentiment"],
+    group_by=["complaint_category", "language"], grain="week", fill=True,
+)
+
+
+def _offer_metrics(w: Warehouse) -> DataFrame:
+    layer = MetricLayer(marts(w))
+    layer.metrics |= {
+        m: Metric(m, "simple", measure=m) for m in ("offers_presented", "ancillary_accepted_revenue")
+    }
+    return layer.query(["offers_presented", "ancillary_accepted_revenue"], ["flight__route_type", "flight__route"])
+
+
+_add(
+    "metrics_offers_by_flight_of_booking", _offer_metrics,
+    """select f.route_type as flight__route_type, f.route_sk as flight__route,
+              sum(presented_flag::int)::bigint as offers_presented,
+              sum(accepted_revenue_usd)::double as ancillary_accepted_revenue
+       from fct_ancillary_offers o left join (select booking_id, flight_sk from fct_bookings) using (booking_id)
+       left join (select flight_sk, route_type, route_sk from fct_flights) f using (flight_sk)
+       group by 1, 2""",
+)
+
+
+def _customers_rolled_up(w: Warehouse) -> DataFrame:
+    bitmaps, _ = distinct_counts.stored_bitmaps(marts(w)["fct_bookings"], "customer_id", "booking_date")
+    rate = F.try_divide((F.col("n_rows") - F.col("n_distinct")).cast("double"), F.col("n_rows").cast("double"))
+    return stack(
+        [
+            distinct_counts.distinct_by(bitmaps, grain).select(
+                F.lit(grain).alias("grain"), "metric_time", F.col("n_distinct").alias("unique_customers"),
+                rate.alias("repeat_booking_rate"),
+            )
+            for grain in ("month", "quarter", "year")
+        ]
+    )
+
+
+_add(
+    "unique_customers_rolled_up", _customers_rolled_up,
+    " union all ".join(
+        f"""select '{grain}' as grain, date_trunc('{grain}', booking_date)::date as metric_time,
+                   count(distinct customer_id) as unique_customers,
+                   (count(*) - count(distinct customer_id)) / count(*) as repeat_booking_rate
+            from fct_bookings group by 2"""
+        for grain in ("month", "quarter", "year")
+    ),
+    days="metric_time", rounded="repeat_booking_rate",
+)
+
+
+def _rfm_of_days(w: Warehouse) -> DataFrame:
+    daily = write_by_month(cust.daily_spend(w["stg_bookings"]), _own_folder(w), "booking_date")
+    return cust.rfm_base_of_days(daily)
+
+
+_add("customer_rfm_base_of_days", _rfm_of_days, "rfm_base", money=_RFM_MONEY, days="last_booking_date")
+
+
+def _concepts_from_file(w: Warehouse) -> DataFrame:
+    """Who or what each rule of the file singles out."""
+    read, tables = rule_files.read_rules(), marts(w)
+    customers = tables["dim_customer_current"]
+    found = [
+        rules.high_value_at_risk(
+            tables["int_customer_lifetime"], tables["fct_customer_feedback"], read["HighValueAtRiskCustomer"]
+        ),
+        rules.strategic_underperforming(
+            tables["int_route_monthly_perf"], tables["dim_route"], read["StrategicUnderperformingRoute"]
+        ),
+        rules.premium_upsell(tables["fct_ancillary_offers"], customers, read["PremiumUpsellCandidate"]),
+        rules.loyal_detractor(
+            customers, tables["rfm_base"], tables["fct_customer_feedback"], read["LoyalDetractor"]
+        ),
+        rules.irops_heavy(tables["fct_flights"], tables["dim_route"], read["IROPSHeavyRoute"]),
+    ]
+    return stack([df.select("ontology_concept", F.col(df.columns[0]).alias("key")) for df in found])
+
+
+_CONCEPTS = {
+    "HighValueAtRiskCustomer": ("ont_high_value_at_risk_customer", "customer_id"),
+    "StrategicUnderperformingRoute": ("ont_strategic_underperforming_route", "route_id"),
+    "PremiumUpsellCandidate": ("ont_premium_upsell_candidate", "customer_id"),
+    "LoyalDetractor": ("ont_loyal_detractor", "customer_id"),
+    "IROPSHeavyRoute": ("ont_irops_heavy_route", "route_id"),
+}
+_add(
+    "concepts_from_rule_file", _concepts_from_file,
+    " union all ".join(
+        f"select '{concept}' as ontology_concept, {key} as key from {table}"
+        for concept, (table, key) in _CONCEPTS.items()
+    ),
+)
+
+# ---- inputs by name, word lists as files, capped rows -------------------------------
+
+
+def _read_back(w: Warehouse) -> DataFrame:
+    """Every input, written as a file by its name and read by that name."""
+    folder = _own_folder(w)
+    counts = []
+    for source in SOURCES:
+        w[source].write.parquet(f"{folder}/{source}.parquet")
+        back = stage(read_source(w.spark, folder, source), source)
+        counts.append(back.agg(F.count("*").alias("n_rows")).select(F.lit(source).alias("source"), "n_rows"))
+    return stack(counts)
+
+
+_add(
+    "sources_by_name", _read_back,
+    " union all ".join(f"select '{s}' as source, count(*) as n_rows from stg_{s}" for s in SOURCES),
+)
+
+
+def _seed_file(w: Warehouse) -> DataFrame:
+    """Polarised tokens by a word list read from a CSV file."""
+    folder = _own_folder(w)
+    seed_frame(w.spark, "lexicon_sentiment", BOUND_LEXICON).coalesce(1).write.csv(
+        f"{folder}/lexicon_sentiment.csv", header=True
+    )
+    return feedback.polarised_tokens(w["int_feedback_tokens"], read_seed(w.spark, folder, "lexicon_sentiment"))
+
+
+_add("polarised_tokens_from_seed_file", _seed_file, "polarised_tokens")
+_add(
+    "lookup_capped_rows",
+    lambda w: lookups.capped_frame(
+        marts(w)["fct_bookings"].select("booking_id", "total_booking_revenue_usd"),
+        [F.col("total_booking_revenue_usd").desc(), F.col("booking_id")],
+    ),
+    """select booking_id, total_booking_revenue_usd, (select count(*) > 1000 from fct_bookings) as truncated
+       from fct_bookings order by total_booking_revenue_usd desc, booking_id limit 1000""",
+    money="total_booking_revenue_usd",
+)
