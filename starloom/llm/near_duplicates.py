@@ -47,6 +47,7 @@ from starloom.session import materialise
 SHINGLE = 5
 MEMBERS = 512  # classes in a block of a key
 BITS = (256, 1 << 16)  # least and most of a parity bitmap
+BATCH = 4 << 20  # bytes of text handed to a worker at a time
 _FAR = np.uint64((1 << 64) - 1)
 _BLOCK = 1 << 16  # hash values worked on at a time, unless one function needs more
 
@@ -112,7 +113,7 @@ def sketched(
 ) -> DataFrame:
     """``doc_id, text_key, node, keys`` for each document that has words; ``node`` names the
     sequence of words."""
-    T.limit_batches(docs.sparkSession)
+    T.limit_batches(docs.sparkSession, BATCH)
     factors = factors_of(bands * per_band, seed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -407,7 +408,8 @@ def near_duplicate_classes(
         wanted.alias("w"),
         F.col("t.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("t.text_key") == F.col("w.text_key")),
     )
-    texts = materialise(texts.select("w.node", "t.text"), "texts")
+    # Rows that repeat an id and a text all meet the one that names the class: one stays.
+    texts = materialise(texts.select("w.node", "t.text").dropDuplicates(["node"]), "texts")
     tried = materialise(_with_centres(bands), "pairs")
     links = _linked(tried, texts, threshold)
     grouped = materialise(components(links), "components")

@@ -228,3 +228,23 @@ def test_components(spark):
     got = components(spark.createDataFrame(chain, "a string, b string"))
     groups = collections.Counter(r.component for r in got.collect())
     assert groups == {"000": 41, "900": 2}
+
+
+def test_near_texts_that_repeat_a_thousand_times(documents, monkeypatch):
+    """Rows that repeat an id and a text are one class, compared once."""
+    from starloom.llm import near_duplicates as N
+
+    pairs = []
+    linked = N._linked
+
+    def counted(rows, texts, threshold):
+        pairs.append((rows.count(), texts.count(), texts.select("node").distinct().count()))
+        return linked(rows, texts, threshold)
+
+    monkeypatch.setattr(N, "_linked", counted)
+    words = [f"w{i}" for i in range(80)]
+    near = words[:79] + ["other"]
+    rows = [(1, " ".join(words))] * 1000 + [(2, " ".join(near))] * 1000 + [(None, " ".join(near))] * 3
+    got = near_duplicates(documents(rows)).collect()
+    assert len(got) == 2003 and {r.class_id for r in got} == {1}
+    assert pairs[0] == (1, 2, 2)
