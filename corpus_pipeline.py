@@ -5,8 +5,8 @@ tables; it returns documents in the columns it was given, the last one also how
 is read. A stage judges the documents it is given, not the raw ones.
 
 1. ``toxicity`` leaves out documents scored toxic; it learns from ``labels``.
-2. ``line_dedup`` deletes runs of three or more lines that stand earlier, and documents of
-   which nothing is left.
+2. ``line_dedup`` deletes lines of five words and runs of three lines that stand earlier,
+   and documents of which nothing is left.
 3. ``near_dedup`` keeps one document of each class of near-duplicates, that of the smallest
    id.
 4. ``decontamination`` leaves out documents that hold ten consecutive words of a
@@ -25,7 +25,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from starloom.llm.decontaminate import decontaminate
-from starloom.llm.lines import dedup_lines, drop_emptied
+from starloom.llm.lines import drop_repeated_lines
 from starloom.llm.mixing import mixture
 from starloom.llm.near_duplicates import drop_near_duplicates
 from starloom.llm.toxicity import drop_toxic
@@ -41,8 +41,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    columns = [f"`{c}`" for c in docs.columns]
-    return drop_emptied(dedup_lines(docs)).select(*columns)
+    return drop_repeated_lines(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
