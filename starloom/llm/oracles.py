@@ -52,21 +52,49 @@ LINES = r"""
 with texts as (
   select doc_id, regexp_extract_all(text, '[^\n\r]+') as lines
   from documents),
-places as (
-  select doc_id, unnest(range(1, len(lines) - 1)) as line, lines from texts where len(lines) >= 3),
+lines as (select doc_id, unnest(range(1, len(lines) + 1)) as line, unnest(lines) as content from texts),
+near as (
+  select doc_id, line, content, lead(content, 1) over w as second, lead(content, 2) over w as third,
+         len(regexp_extract_all(content, '[^\x20\x09-\x0D]+')) >= 5 as solid
+  from lines window w as (partition by doc_id order by line)),
 windows as (
-  select doc_id, line,
-         concat_ws(chr(10), lines[line], lines[line + 1], lines[line + 2]) as content from places),
+  select doc_id, line, case when solid then 1 else 3 end as n,
+         case when solid then content else concat_ws(chr(10), content, second, third) end as content
+  from near where solid or third is not null),
 found as (
-  select doc_id, line,
+  select doc_id, line, n,
          first_value(struct_pack(d := doc_id, l := line))
            over (partition by content order by doc_id, line) as first
   from windows),
+matches as (
+  select doc_id, line, n, first.d as from_id, first.l as from_line
+  from found where first <> struct_pack(d := doc_id, l := line)),
+over1 as (
+  select m.doc_id, m.line, m.from_id, m.from_line from matches m
+  join lines a on a.doc_id = m.doc_id and a.line = m.line - 1
+  join lines b on b.doc_id = m.from_id and b.line = m.from_line - 1
+  where a.content = b.content),
+over2 as (
+  select m.doc_id, m.line from over1 m
+  join lines a on a.doc_id = m.doc_id and a.line = m.line - 2
+  join lines b on b.doc_id = m.from_id and b.line = m.from_line - 2
+  where a.content = b.content),
+under1 as (
+  select m.doc_id, m.line + m.n as line, m.from_id, m.from_line + m.n as from_line from matches m
+  join lines a on a.doc_id = m.doc_id and a.line = m.line + m.n
+  join lines b on b.doc_id = m.from_id and b.line = m.from_line + m.n
+  where a.content = b.content),
+under2 as (
+  select m.doc_id, m.line + 1 as line from under1 m
+  join lines a on a.doc_id = m.doc_id and a.line = m.line + 1
+  join lines b on b.doc_id = m.from_id and b.line = m.from_line + 1
+  where a.content = b.content),
 gone as (
-  select distinct doc_id, line + k as line
-  from found, (values (0), (1), (2)) as n(k)
-  where first <> struct_pack(d := doc_id, l := line)),
-lines as (select doc_id, unnest(range(1, len(lines) + 1)) as line, unnest(lines) as content from texts),
+  select doc_id, line + k as line from matches, (values (0), (1), (2)) as steps(k) where k < n
+  union select doc_id, line - 1 from over1
+  union select doc_id, line - 2 from over2
+  union select doc_id, line from under1
+  union select doc_id, line from under2),
 kept as (
   select l.doc_id, string_agg(l.content, chr(10) order by l.line) as content, count(*) as n
   from lines l anti join gone g on l.doc_id = g.doc_id and l.line = g.line group by l.doc_id)

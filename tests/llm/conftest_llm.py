@@ -7,7 +7,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
 # Columns whose names the operators use for their own results.
-CLASHES = ["n_words", "kept", "size", "copies", "hits", "items", "id", "node", "text_key", "doc", "word", "toxicity"]
+CLASHES = ["n_words", "kept", "size", "copies", "hits", "items", "id", "node", "text_key", "doc", "word", "toxicity", "n_lines", "n_removed"]
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, "
 SCHEMA = COLUMNS + ", ".join(f"{c} string" for c in CLASHES)
 
