@@ -29,7 +29,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.spans import count_of, digits, found, listed, overlaps
+from starloom.llm.spans import count_of, cut, digits, found, free, listed, once, stretches_of
 from starloom.session import materialise
 
 # The patterns of the base kinds. A card of fewer than 16 digits or more than
@@ -170,15 +170,20 @@ def candidates(docs: DataFrame) -> DataFrame:
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
     )
-    text = F.col("text")
+    rows = rows.withColumn("stretches", stretches_of(F.col("text")))
+    text, stretches = F.col("text"), F.col("stretches")
 
     def judged(kind: str, number: int, spans: Column) -> Column:
-        def one(s: Column) -> Column:
-            start, end, hit = s["start"], s["end"], s["text"]
-            before = F.substring(
-                text, F.greatest(start - NEIGHBOURS, F.lit(0)) + 1, F.least(start, F.lit(NEIGHBOURS))
+        def beside(s: Column) -> Column:
+            first = F.greatest(s["start"] - NEIGHBOURS, F.lit(0))
+            return F.struct(
+                cut(stretches, first, s["start"] - first).alias("before"),
+                cut(stretches, s["end"], F.lit(NEIGHBOURS)).alias("after"),
             )
-            after = F.substring(text, end + 1, F.lit(NEIGHBOURS))
+
+        def one(s: Column, around: Column) -> Column:
+            start, end, hit = s["start"], s["end"], s["text"]
+            before, after = around["before"], around["after"]
             size = F.least(F.floor(F.log2(end - start)), F.lit(7))
             share = F.floor(4 * F.length(digits(hit)) / (end - start))
             return F.struct(
@@ -197,14 +202,13 @@ def candidates(docs: DataFrame) -> DataFrame:
                 ).alias("features"),
             )
 
-        return F.transform(spans, one)
+        return F.transform(spans, lambda s: once(beside(s), lambda around: one(s, around)))
 
     spans = matches(text)
     base = [judged(k, i, spans[k]) for i, k in enumerate(BASE)]
     loose = [judged(k, i, spans[k]) for i, k in enumerate(LOOSE, len(BASE))]
     rows = rows.select("doc_id", F.concat(*base).alias("base"), F.concat(*loose).alias("loose"))
-    free = F.filter("loose", lambda s: ~overlaps(s, F.col("base")))
-    return rows.select("doc_id", "base", free.alias("loose"))
+    return rows.select("doc_id", "base", free(F.col("loose"), F.col("base")).alias("loose"))
 
 
 def _sort_of(character: Column) -> Column:

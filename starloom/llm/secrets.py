@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.spans import count_of, found, listed, named, overlaps
+from starloom.llm.spans import count_of, found, free, listed, named
 from starloom.session import materialise
 
 # The patterns of the base kinds.
@@ -73,7 +73,7 @@ def candidates(docs: DataFrame) -> DataFrame:
         F.array_sort(F.concat(*[named(every[k], kinds[k], k) for k in range(3)])).alias("base"),
         F.array_sort(F.concat(*[named(every[k], kinds[k], k) for k in range(3, 6)])).alias("loose"),
     )
-    weak = F.filter("loose", lambda s: ~overlaps(s, F.col("base")))
+    weak = free(F.col("loose"), F.col("base"))
     return rows.select("doc_id", "text_key", "base", weak.alias("weak"))
 
 
