@@ -6,8 +6,9 @@ distance to the mean and the inner product of the unit vector with its code. The
 covers all rows; the rotation comes from a seed and the number of dimensions, so nothing is
 fitted on a sample. Every row is indexed.
 
-Search: queries come in blocks of fixed size, each broadcast to all index partitions. For
-every vector, the code gives an estimate of its inner product with the query, and a bound
+Search: queries are dealt to blocks of about a fixed size; each block is read, broadcast to
+all index partitions, searched in a job of its own and let go, so neither the driver nor the
+plan holds more than one. For every vector, the code gives an estimate of its inner product with the query, and a bound
 on the estimate's error that fails with a probability set by ``epsilon``. Vectors whose
 lowest possible distance is not above the k-th smallest of the highest possible distances
 are reranked by exact distance, in the same task; each partition hands on its best ``k``
@@ -16,14 +17,17 @@ for each query, and these are merged.
 No number of candidates is capped: equal vectors have equal codes and are all reranked.
 
 Defined cases: vectors that are null, zero, or hold null, NaN or infinite components take
-no part, neither do rows with a null id, nor vectors whose number of dimensions is not the
-most frequent one (the larger, on a tie). Rows that repeat an id count as one, with the
-smallest of their vectors. A table with one vector gives no rows; one with fewer than ``k``
-others gives all of them. Other columns are ignored.
+no part, neither do rows with a null id. Only vectors of one length are compared: each
+length has its own index. Each different vector of an id that repeats is a candidate, and a
+query where the id is one; an id is found once, at the smallest distance, and never by
+itself. A table with one vector gives no rows; one with fewer than ``k`` others gives all of
+them. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.llm.tokens import limit_batches
-from starloom.session import materialise
+from starloom.session import materialise, shared_folder
 
 SLICE = 4096  # vectors compared at a time
 
@@ -45,16 +49,14 @@ def rotation(dimensions: int, seed: int) -> np.ndarray:
 
 
 def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
-    """``id, vector`` of the rows that take part, one row for each id."""
+    """``id, vector`` of the rows that take part, equal ones once."""
     good = vectors.select(
         F.col(id_column).cast("long").alias("id"),
         F.col(vector_column).cast("array<double>").alias("vector"),
     ).where(F.col("id").isNotNull() & F.col("vector").isNotNull())
     v = F.col("vector")
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    return good.where(~bad & F.exists(v, lambda x: x != 0)).groupBy("id").agg(
-        F.min("vector").alias("vector")
-    )
+    return good.where(~bad & F.exists(v, lambda x: x != 0)).distinct()
 
 
 def _matrix(column: pa.Array, dimensions: int) -> np.ndarray:
@@ -63,23 +65,10 @@ def _matrix(column: pa.Array, dimensions: int) -> np.ndarray:
 
 
 def build_index(
-    vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding", seed: int = 7
-) -> tuple[DataFrame, np.ndarray, np.ndarray] | None:
-    """Index table (``id, vector, code, norm, fit``), mean and rotation; None if no vector
-    takes part."""
-    limit_batches(vectors.sparkSession)
-    rows = materialise(usable(vectors, id_column, vector_column), "vectors")
-    most = (
-        rows.groupBy(F.size("vector").alias("n"))
-        .count()
-        .agg(F.max(F.struct("count", "n")).alias("best"))
-        .first()
-        .best
-    )
-    if most is None:
-        return None
-    dimensions = most.n
-    rows = rows.where(F.size("vector") == dimensions)
+    rows: DataFrame, dimensions: int, seed: int = 7
+) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+    """Index table (``id, vector, code, norm, fit``) of vectors ``id, vector`` of one length,
+    mean and rotation."""
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n = np.zeros(dimensions), 0
@@ -138,10 +127,23 @@ class _Best:
     def add(self, q: int, ids: np.ndarray, scores: np.ndarray) -> None:
         ids = np.concatenate([self.ids[q], ids])
         scores = np.concatenate([self.scores[q], scores])
-        order = np.lexsort((ids, scores))[: self.k]
+        order = np.lexsort((ids, scores))
+        _, first = np.unique(ids[order], return_index=True)  # each id where it is nearest
+        order = order[np.sort(first)[: self.k]]
         self.ids[q], self.scores[q] = ids[order], scores[order]
 
 
+def _kth_by_id(ids: np.ndarray, high: np.ndarray, k: int) -> np.ndarray:
+    """For each column, the ``k``-th smallest of the ids' smallest values."""
+    order = np.argsort(ids, kind="stable")
+    first = np.flatnonzero(np.diff(ids[order], prepend=ids[order[0]] - 1))
+    if len(first) < len(ids):
+        high = np.minimum.reduceat(high[order], first, axis=0)
+    if len(high) <= k:
+        return np.full(high.shape[1], np.inf)
+    return np.partition(high, k - 1, axis=0)[k - 1]
+
+
 def _scan(block, mean: np.ndarray, turn: np.ndarray, k: int, epsilon: float):
     dimensions = len(mean)
 
@@ -169,10 +171,7 @@ def _scan(block, mean: np.ndarray, turn: np.ndarray, k: int, epsilon: float):
                 low, high = middle - width, middle + width
                 own = ids[:, None] == query_ids
                 high[own] = np.inf
-                if len(part) > k:
-                    bar = np.partition(high, k - 1, axis=0)[k - 1]
-                else:
-                    bar = np.full(len(query_ids), np.inf)
+                bar = _kth_by_id(ids, high, k)
                 known = np.array([best.limit(q) ** 2 for q in range(len(query_ids))])
                 # Rounding of the estimates in single precision must not cost a vector.
                 bar = np.minimum(bar, known) + 1e-5 * (1 + query_norm**2 + norm.max(initial=0.0) ** 2)
@@ -202,33 +201,34 @@ def nearest(
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest of each row whose id is
     divisible by ``every``, by Euclidean distance; ties go to the smaller id."""
-    spark = vectors.sparkSession
-    schema = "query_id long, rank int, vec_id long, score double"
-    built = build_index(vectors, id_column, vector_column)
-    if built is None:
-        return spark.createDataFrame([], schema)
-    index, mean, turn = built
-    queries = index.where(F.col("id") % every == 0).select("id", "vector").orderBy("id")
-    found: DataFrame | None = None
-    ids: list[int] = []
-    rows: list[list[float]] = []
-
-    def search() -> DataFrame:
-        held = spark.sparkContext.broadcast((np.array(ids), np.array(rows)))
-        return index.mapInArrow(
-            _scan(held, mean, turn, k, epsilon), "query_id long, vec_id long, score double"
-        )
-
-    for row in queries.toLocalIterator():  # a block of ``block`` vectors at a time
-        ids.append(row.id)
-        rows.append(row.vector)
-        if len(ids) == block:
-            found = search() if found is None else found.unionByName(search())
-            ids, rows = [], []
-    if ids:
-        found = search() if found is None else found.unionByName(search())
-    if found is None:
-        return spark.createDataFrame([], schema)
+    spark = limit_batches(vectors.sparkSession)
+    schema = "query_id long, vec_id long, score double"
+    folder = f"{shared_folder(spark)}/starloom/{spark.sparkContext.applicationId}/nearest-{uuid.uuid4().hex}"
+    spark.createDataFrame([], schema).write.parquet(folder)
+    rows = materialise(usable(vectors, id_column, vector_column), "vectors")
+    lengths = rows.select(F.size("vector").alias("n")).distinct().orderBy("n").collect()
+    for (dimensions,) in lengths:
+        of_length = rows.where(F.size("vector") == dimensions)
+        index, mean, turn = build_index(of_length, dimensions)
+        queries = index.where(F.col("id") % every == 0).select("id", "vector")
+        blocks = math.ceil(queries.count() / block)
+        if blocks:
+            number = F.pmod(F.xxhash64("id", "vector"), F.lit(blocks)).alias("block")
+            queries = queries.select("id", "vector", number).repartitionByRange("block")
+            queries = materialise(queries.sortWithinPartitions("block", "id"), "queries")
+        for this in range(blocks):
+            some = queries.where(F.col("block") == this).collect()  # about ``block`` vectors
+            if not some:
+                continue
+            held = spark.sparkContext.broadcast(
+                (np.array([q.id for q in some]), np.array([q.vector for q in some]))
+            )
+            found = index.mapInArrow(_scan(held, mean, turn, k, epsilon), schema)
+            found.write.mode("append").parquet(folder)
+            held.destroy()
+    found = spark.read.schema(schema).parquet(folder)
+    # Several vectors of an id are several queries, or are found several times.
+    nearest_of = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    ranked = nearest_of.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
