@@ -57,22 +57,26 @@ def test_mix_of_odd_documents(odd, documents):
 
 
 def nearest_expected(rows, every, k):
-    sides = collections.Counter(len(v) for _, v in rows if v is not None)
-    good = {}
+    good = set()
     for i, v in rows:
         if i is None or v is None or any(x is None or not math.isfinite(x) for x in v) or not any(v):
             continue
-        if len(v) == max(sides, key=lambda n: (sides[n], n)):
-            good[i] = min(good.get(i, v), v)
-    out = {}
-    ids = np.array(sorted(good))
-    matrix = np.array([good[i] for i in ids], dtype=float)
-    for q in ids[ids % every == 0]:
-        gap = matrix - matrix[list(ids).index(q)]
-        scores = np.sqrt((gap * gap).sum(axis=1))
-        ranked = sorted((s, i) for s, i in zip(scores, ids) if i != q)[:k]
-        out[q] = [(int(i), float(s)) for s, i in ranked]
-    return out
+        good.add((i, tuple(v)))
+    by_length = collections.defaultdict(list)
+    for i, v in sorted(good):
+        by_length[len(v)].append((i, v))
+    best = collections.defaultdict(dict)
+    for same in by_length.values():
+        matrix = np.array([v for _, v in same], dtype=float)
+        for q, v in same:
+            if q % every == 0:
+                gap = matrix - np.array(v)
+                for (i, _), score in zip(same, np.sqrt((gap * gap).sum(axis=1)).tolist()):
+                    if i != q:
+                        best[q][i] = min(best[q].get(i, math.inf), score)
+    return {
+        q: [(i, s) for s, i in sorted((s, i) for i, s in found.items())[:k]] for q, found in best.items()
+    }
 
 
 def by_query(frame):
@@ -105,8 +109,17 @@ def test_nearest_of_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, None), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]),
             (6, [None, 1.0]), (7, [1.0, 2.0, 3.0]), (None, [1.0, 1.0]), (8, [1.0, 0.0]), (8, [0.5, 0.0]),
-            (9, []), (10, [1.0, 0.0]), (0, [1.0, 0.0])]
+            (9, []), (10, [1.0, 0.0]), (0, [1.0, 0.0]), (20, [2.0, 2.0, 3.0]), (20, [5.0, 1.0]), (30, [4.0])]
     expected = nearest_expected(rows, 10, 10)
     assert by_query(nearest(vectors(spark, rows), every=10)) == expected
+    # Many vectors of one id near a query leave room for the others.
+    rng = np.random.default_rng(4)
+    rows = [(1, (np.ones(16) + 0.01 * rng.standard_normal(16)).tolist()) for _ in range(40)]
+    rows += [(i, rng.standard_normal(16).tolist()) for i in (0, 0, 100, *range(2, 30))]
+    rows += [(0, [1.0] * 16)]
+    got, expected = by_query(nearest(vectors(spark, rows), block=1)), nearest_expected(rows, 100, 10)
+    assert {q: [i for i, _ in found] for q, found in got.items()} == {
+        q: [i for i, _ in found] for q, found in expected.items()
+    }
     assert nearest(vectors(spark, [])).count() == 0
     assert nearest(vectors(spark, [(0, [1.0])])).count() == 0
