@@ -173,7 +173,8 @@ def mix(
 
 def mixture(docs: DataFrame, **options) -> DataFrame:
     """The documents of the mix with all their columns and ``copies``, ``finish``; to train
-    on it, read each document ``copies`` times in order of ``finish``."""
+    on it, read each document ``copies`` times in order of ``finish``. Columns of the
+    documents with these two names are replaced."""
     mixed = mix(docs, **options).where("copies > 0")
     same = Window.partitionBy("doc_id", "source", "text_key").orderBy("finish")
     mixed = mixed.select(
