@@ -140,3 +140,19 @@ def test_quick_polarity(frame):
     df = frame([("a", "LOST and bad"), ("b", "Bravo, merci"), ("c", "lost bravo")], "feedback_id string, raw_text string")
     found = {r.feedback_id: r.quick_polarity for r in feedback.keyword_polarity(df, ["lost", "bad"], ["bravo", "merci"]).collect()}
     assert found == {"a": "neg", "b": "pos", "c": "neu"}
+
+
+def test_long_texts_are_split_once(spark):
+    """The tokens before a token are no reason to split its text again, and short lists no
+    reason to shuffle tokens."""
+    rows = [("long", "bon pas bon et pas du tout bon " * 3), ("null", None), ("empty", "")]
+    df = spark.createDataFrame(rows, "feedback_id string, raw_text string")
+    df = df.withColumn("normalised_text", F.lower("raw_text"))
+    lists = [seed_frame(spark, name) for name in ("lexicon_sentiment", "negation_words")]
+    found = feedback.sentiment_by_join(df, *lists)
+    text = found._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("split(") <= 1
+    assert "LogicalRDD [word" not in text
+    got = {r.feedback_id: (r.sentiment_raw, r.polarised_word_count) for r in found.collect()}
+    # Each round: bon, pas bon, pas du tout bon; the first of a later round has "tout bon" before it.
+    assert got == {"long": (3, 9), "null": (0, 0), "empty": (0, 0)}
