@@ -1,6 +1,8 @@
 """Tables by month and in buckets, histories in files, and what their plans read."""
 
 import datetime as dt
+import re
+import uuid
 from pathlib import Path
 
 import pytest
@@ -10,8 +12,9 @@ from starloom.operators import reports, scd2
 from starloom.operators.colocated import colocated_join, write_bucketed
 from starloom.plans.history import HistoryStore
 from starloom.plans.register import marts, warehouse
-from starloom.plans.warehouse import FACT_DAYS, current_version
-from starloom.sources.writers import MONTH, replace_months, write_by_month
+from starloom.plans.warehouse import FACT_COLUMNS, FACT_DAYS, SPREAD_FACTS, TablesOnDemand, current_version
+from starloom.session import shared_folder
+from starloom.sources.writers import MONTH, _monthly, replace_months, write_by_month
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -158,3 +161,42 @@ def test_thousands_of_versions_of_one_customer(spark):
     for most in (1, 64, 10_000):
         found = scd2.version_in_force(rows, history, "k", "day", ["v"], most)
         assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, expected))
+
+
+def test_marts_are_built_as_far_as_they_are_asked_for(spark):
+    w = warehouse(spark, FOLDER)
+    tables = TablesOnDemand(w, f"{shared_folder(spark)}/{uuid.uuid4().hex}", set())
+    assert tables["int_route_monthly_perf"].count() > 0
+    assert tables.done == {"int_route_monthly_perf", "int_flight_full"}
+    # Another reader of the same version finds them written.
+    again = TablesOnDemand(warehouse(spark, FOLDER), tables.path, tables.done)
+    before = files(tables.path)
+    assert again["int_route_monthly_perf"].count() == tables["int_route_monthly_perf"].count()
+    assert files(tables.path) == before
+    with pytest.raises(KeyError):
+        tables["no_such_table"]
+
+
+@pytest.mark.parametrize("fact", list(FACT_DAYS))
+def test_written_facts_hold_the_rows_of_lazy_ones(spark, tmp_path, fact):
+    w = warehouse(spark, FOLDER)
+    day, path = FACT_DAYS[fact], str(tmp_path / fact)
+    lazy = w[fact]
+    stored = write_by_month(w.rows(fact), path, day, FACT_COLUMNS[fact], fact not in SPREAD_FACTS)
+    assert stored.columns == [*lazy.columns, MONTH]
+    assert stored.drop(MONTH).exceptAll(lazy).isEmpty() and lazy.exceptAll(stored.drop(MONTH)).isEmpty()
+
+
+def test_keys_in_hex_are_made_after_the_last_shuffle(spark):
+    w = warehouse(spark, FOLDER)
+    for fact, day in FACT_DAYS.items():
+        for deal in (True, False):
+            rows = _monthly(w.rows(fact), day, FACT_COLUMNS[fact], deal)
+            text = rows._jdf.queryExecution().optimizedPlan().toString()
+            assert ("RebalancePartitions" in text) == deal
+            below = text.split("RebalancePartitions")[1] if deal else ""
+            made = f"AS {rows.columns[0]}#"
+            assert made in text and made not in below
+    text = w["fct_ancillary_offers"]._jdf.queryExecution().optimizedPlan().toString()
+    # Offers are only joined by booking: the first join is theirs, customers meet bookings below.
+    assert "booking_id" in next(line for line in text.splitlines() if "Join" in line)
