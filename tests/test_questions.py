@@ -68,7 +68,7 @@ def test_a_question_reads_the_rows_of_the_built_fact(spark, inputs, fact, column
 
 @pytest.mark.parametrize(
     "query",
-    ["metrics_across_models", "page_bookings_in_peak_season", "metrics_by_week_where"],
+    ["metrics_across_models", "page_bookings_in_peak_season", "metrics_by_week_where", "lookup_capped_rows"],
 )
 def test_a_question_builds_no_fact(spark, inputs, query):
     folder, _ = inputs
