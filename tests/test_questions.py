@@ -52,6 +52,8 @@ def inputs(request, spark, tmp_path_factory):
         ("fct_bookings", "booking_sk booking_date route_id flight_sk flight_date"),
         ("fct_ancillary_offers", "ancillary_offer_sk offer_date offer_type accepted_revenue_usd"),
         ("fct_ancillary_offers", "ancillary_offer_sk loyalty_tier"),
+        ("fct_bookings", "booking_id loyalty_tier_at_booking customer_segment_at_booking customer_version_sk"),
+        ("fct_loyalty_events", "loyalty_event_sk customer_sk"),
         ("fct_loyalty_events", "loyalty_event_id event_date points_earned route_sk"),
         ("fct_customer_feedback", "feedback_id feedback_date route_id sentiment_score"),
         ("fct_customer_feedback", "feedback_id flight_sk language"),
@@ -68,7 +70,10 @@ def test_a_question_reads_the_rows_of_the_built_fact(spark, inputs, fact, column
 
 @pytest.mark.parametrize(
     "query",
-    ["metrics_across_models", "page_bookings_in_peak_season", "metrics_by_week_where", "lookup_capped_rows"],
+    [
+        "metrics_across_models", "page_bookings_in_peak_season", "metrics_by_week_where", "lookup_capped_rows",
+        "report_attach_rate_by_segment", "report_upgrade_conversion_by_tier",
+    ],
 )
 def test_a_question_builds_no_fact(spark, inputs, query):
     folder, _ = inputs
