@@ -223,20 +223,21 @@ def kept_lines(text: str, starts, lengths) -> tuple[str, int, int]:
 
 
 @pandas_udf(_KEPT)
-def _apply(texts: pd.Series, starts: pd.Series, lengths: pd.Series) -> pd.DataFrame:
-    out = []
-    for text, first, n in zip(texts, starts, lengths):
-        if text is None:
-            out.append((None, 0, 0))
-        elif first is None:
-            out.append((text, len(_LINE.findall(text)), 0))
-        else:
-            out.append(kept_lines(text, first, n))
+def _cut(texts: pd.Series, starts: pd.Series, lengths: pd.Series) -> pd.DataFrame:
+    """What is kept of texts that lose lines; nothing for a null."""
+    out = [
+        (None, 0, 0) if text is None else kept_lines(text, first, n)
+        for text, first, n in zip(texts, starts, lengths)
+    ]
     return pd.DataFrame(out, columns=["kept", "n_lines", "n_removed"])
 
 
 def _deduped(docs: DataFrame, min_lines: int, min_words: int) -> DataFrame:
-    """``doc``, the row as it was, and ``out``: what is kept of it, with counts."""
+    """``doc``, the row as it was, and ``out``: what is kept of it, with counts.
+
+    Runs are few and short beside the texts: each task holds its share of them in a hash
+    table and texts pass by it unsorted. Only those that lose lines are handed to Python.
+    """
     runs = repeated_runs(docs, min_lines, min_words).groupBy("id", "text_key")
     runs = runs.agg(
         F.collect_list("line").alias("starts"), F.collect_list("lines").alias("lengths")
@@ -246,8 +247,17 @@ def _deduped(docs: DataFrame, min_lines: int, min_words: int) -> DataFrame:
         F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("id"),
         F.xxhash64("text").alias("text_key"),
     )
-    return rows.join(runs, ["id", "text_key"], "left").select(
-        "doc", _apply(F.col("doc.text"), F.col("starts"), F.col("lengths")).alias("out")
+    found = rows.join(runs.hint("shuffle_hash"), ["id", "text_key"], "left")
+    text, whole = F.col("doc.text"), F.col("starts").isNull()
+    cut = found.withColumn("cut", _cut(F.when(~whole, text), F.col("starts"), F.col("lengths")))
+    n_lines = F.coalesce(F.regexp_count(text, F.lit(_LINE.pattern)).cast("long"), F.lit(0))
+    return cut.select(
+        "doc",
+        F.struct(
+            F.when(whole, text).otherwise(F.col("cut.kept")).alias("kept"),
+            F.when(whole, n_lines).otherwise(F.col("cut.n_lines")).alias("n_lines"),
+            F.when(whole, 0).otherwise(F.col("cut.n_removed")).alias("n_removed"),
+        ).alias("out"),
     )
 
 

@@ -6,8 +6,10 @@ import hashlib
 import random
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
+from pyspark.sql.functions import pandas_udf
 
 from conftest_llm import ODD, blank_words, plain_words
 from starloom.llm import lines as L
@@ -143,6 +145,27 @@ def test_lines(documents, min_lines, min_words):
     assert order(mine) == order(lines_expected(rows, min_lines, min_words))
 
 
+def test_only_texts_that_lose_lines_are_handed_to_python(documents, monkeypatch):
+    @pandas_udf(L._KEPT)
+    def strict(texts: pd.Series, starts: pd.Series, lengths: pd.Series) -> pd.DataFrame:
+        if (texts.notna() & starts.isna()).any():
+            raise ValueError("a text without runs was handed over")
+        out = [(None, 0, 0) if t is None else L.kept_lines(t, s, n) for t, s, n in zip(texts, starts, lengths)]
+        return pd.DataFrame(out, columns=["kept", "n_lines", "n_removed"])
+
+    monkeypatch.setattr(L, "_cut", strict, raising=False)
+    monkeypatch.setattr(L, "_apply", strict, raising=False)
+    line = "one line of five words"
+    rows = [(1, f"{line}\nx"), (2, f"\r\ny\r\n{line}\u2028z\x85\n"), (3, f"y\n{line}"), (4, None), (5, ""), (6, "\n\r")]
+    got = dedup_lines(documents(rows))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan  # texts are not sorted to meet their runs
+    found = {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in got.collect()}
+    assert found == {
+        1: (rows[0][1], 2, 0), 2: (rows[1][1], 2, 0), 3: ("y", 2, 1), 4: (None, 0, 0), 5: ("", 0, 0), 6: ("\n\r", 0, 0),
+    }
+
+
 def test_single_lines_and_ends_of_runs(documents):
     licence = "this line stands in every file of the place"
     rows = [(1, f"head\n{licence}\ntail"), (2, f"other\n{licence}\nrest"), (3, f"head\n{licence}\nmore"), (4, licence)]
